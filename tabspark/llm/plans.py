@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import nearest_time
+from tabspark.llm import linkage, nearest_time
+from tabspark.operators import timestamps
+from tabspark.session import table
 
 TOLERANCE_US = 2_000_000
 
@@ -25,11 +27,34 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("left_id").alias("snapshot_id"), F.col("right_id").alias("update_id"))
 
 
+def _days(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """df with days: every real reading of match_date in days since 1970, in the stated order or, where that gives none, in any."""
+    read = timestamps.day_readings(df, "match_date")
+    stated = F.col("date_order").isNull() | ~F.coalesce(F.col("spelling").isin("day_first", "month_first"), F.lit(False)) | ((F.col("spelling") == "day_first") == (F.col("date_order") == "dmy"))
+    day = F.unix_date("reading")
+    both = read.groupBy(key, *columns).agg(F.array_sort(F.collect_set(F.when(stated, day))).alias("by_order"), F.array_sort(F.collect_set(day)).alias("any"))
+    return both.select(key, *columns, F.when(F.size("by_order") > 0, F.col("by_order")).otherwise(F.col("any")).alias("days"))
+
+
+def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The linked pairs with their confidence."""
+    who = ["player1_name", "player2_name", "tournament"]
+    matches = _days(table(spark, sf_dir, "tennis_matches").select("match_id", *who, "match_date", "date_order"), "match_id", who)
+    listings = _days(table(spark, sf_dir, "match_listings").select("listing_id", *who, "match_date", F.lit(None).cast("string").alias("date_order")), "listing_id", who)
+    left = linkage.records(matches, "match_id", *who, F.col("days"))
+    right = linkage.records(listings, "listing_id", *who, F.col("days"))
+    return linkage.link(left, right).select(F.col("left_id").alias("match_id"), F.col("right_id").alias("listing_id"), "confidence")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_links(spark, sf_dir).select("match_id", "listing_id")
+
+
 _P2_FOUND = """WITH u AS (SELECT DISTINCT token_id, update_id, epoch_us(coalesce(CAST(source_time_utc AS TIMESTAMPTZ), CAST(received_time_utc AS TIMESTAMPTZ))) AS t FROM quote_updates),
 s AS (SELECT DISTINCT token_id, snapshot_id, epoch_us(coalesce(CAST(source_time_utc AS TIMESTAMPTZ), CAST(received_time_utc AS TIMESTAMPTZ))) AS t FROM book_snapshots),
 j AS (SELECT snapshot_id, update_id, row_number() OVER (PARTITION BY snapshot_id, s.t ORDER BY abs(u.t - s.t), update_id) AS k
       FROM s JOIN u ON s.token_id = u.token_id AND u.t BETWEEN s.t - 2000000 AND s.t + 2000000)
 SELECT snapshot_id, update_id FROM j WHERE k = 1"""
 
-QUERIES = {"p2_found": p2_found}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_links)}
 ORACLES = {"p2_found": _P2_FOUND}
