@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from tabspark.session import materialise
+
 
 def json_cells(df: DataFrame, feed: str, file_no: str, row_no: str, body: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """(feed_id, file_no, row_no, keep..., field, json_type, value): one row per key of each object; json_type null for a null."""
@@ -189,8 +191,10 @@ def field_lineage(cells: DataFrame, sketch_size: int = 4096, min_score: float =
 
     The sequential part sees one row per file and field, and one per pair of fields that share values.
     """
-    presence = field_presence(cells)
-    edges = rename_candidates(column_sketches(cells, _turnover(presence), sketch_size))
+    cells = materialise(cells, "drift-cells")  # objects are parsed once
+    presence = materialise(field_presence(cells), "drift-presence")
+    sketches = materialise(column_sketches(cells, materialise(_turnover(presence), "drift-turnover"), sketch_size), "drift-sketches")
+    edges = rename_candidates(sketches)
     slim = presence.select("feed_id", F.col("file_no").cast("long").alias("file_no"), "field", "types")
     edges = edges.withColumnRenamed("feed_id", "edge_feed").select(F.concat("edge_feed").alias("edge_feed"), "at_file", "old_name", "new_name", "by_value", "by_row", "by_name")
     return slim.groupBy("feed_id").cogroup(edges.groupBy("edge_feed")).applyInPandas(_follow(min_score), LINEAGE_SCHEMA)
