@@ -121,9 +121,10 @@ def _keys(df: DataFrame, reach: int) -> DataFrame:
     by_place = F.flatten(F.transform(near, lambda d: F.transform(places, lambda w: F.concat_ws("|", F.lit("t"), w, F.array_join(F.array_sort(initials), ""), d.cast("string")))))
     both = F.array(F.concat(F.lit("b"), F.array_join(F.array_sort(tails), "|")))
     undated = F.flatten(F.transform(surnames, lambda x: F.transform(places, lambda w: F.concat_ws("|", F.lit("u"), x, w))))
+    by_initials = F.when(F.size(initials) == 2, F.transform(places, lambda w: F.concat_ws("|", F.lit("i"), w, F.array_join(F.array_sort(initials), "")))).otherwise(F.array().cast("array<string>"))
     other = lambda a, b: F.when((F.length(f"{a}.tail") > 0) & (F.length(f"{b}.first") > 0), F.concat_ws("|", F.lit("c"), f"{a}.tail", F.substring(f"{b}.first", 1, 1)))
     crossed = F.filter(F.array(other("p", "q"), other("q", "p")), lambda x: x.isNotNull())
-    return df.select("id", F.array_distinct(F.concat(by_day, by_place, both, undated, crossed)).alias("keys"))
+    return df.select("id", F.array_distinct(F.concat(by_day, by_place, both, undated, by_initials, crossed)).alias("keys"))
 
 
 def _word_weights(left: DataFrame) -> DataFrame:
