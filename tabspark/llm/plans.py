@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import linkage, nearest_time
+from tabspark.llm import linkage, mixing, nearest_time, packing, tokens
 from tabspark.operators import timestamps
-from tabspark.session import table
+from tabspark.session import materialise, table
 
 TOLERANCE_US = 2_000_000
 
@@ -56,5 +56,36 @@ j AS (SELECT snapshot_id, update_id, row_number() OVER (PARTITION BY snapshot_id
       FROM s JOIN u ON s.token_id = u.token_id AND u.t BETWEEN s.t - 2000000 AND s.t + 2000000)
 SELECT snapshot_id, update_id FROM j WHERE k = 1"""
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_links)}
+def _sized_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, source, n_tokens) of all documents, written once: every text is encoded once."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return materialise(tokens.with_token_counts(docs).select("doc_id", "source", "n_tokens"), "document-sizes")
+
+
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, or piece of one, with its container of each kind. The kinds are a fixed handful."""
+    sizes = _sized_documents(spark, sf_dir)
+    out = None
+    for kind, capacity in sorted(tuple(r) for r in table(spark, sf_dir, "pack_capacities").select("container_kind", "capacity_tokens").distinct().collect()):
+        part = packing.pack(sizes, "doc_id", "n_tokens", int(capacity)).select(F.lit(kind).alias("container_kind"), F.lit(capacity).cast("long").alias("capacity_tokens"), "container_id", "slot", "doc_id", "piece_no", "first_token", "n_tokens")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are."""
+    return packing.fill_report(p7_packed(spark, sf_dir), "container_kind")
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_sized_documents(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares reached."""
+    docs, targets = _sized_documents(spark, sf_dir), table(spark, sf_dir, "mix_targets")
+    return mixing.mix_report(mixing.mix(docs, targets), docs, targets)
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_links, p7_packed, p7_fill, p8_mix, p8_shares)}
 ORACLES = {"p2_found": _P2_FOUND}
