@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import linkage, mixing, nearest_time, packing, tokens
+from tabspark.llm import linkage, mixing, nearest_time, packing, pii, tokens
 from tabspark.operators import timestamps
 from tabspark.session import materialise, table
 
@@ -87,5 +87,16 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(mixing.mix(docs, targets), docs, targets)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_links, p7_packed, p7_fill, p8_mix, p8_shares)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.surfaces(docs, pii.findings(docs))
+
+
+def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with typed placeholders."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.sanitise(docs, pii.findings(docs.select("doc_id", "text"))).select("doc_id", "text", "lang", "source")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_links, p7_packed, p7_fill, p8_mix, p8_shares, p9_found, p9_sanitised)}
 ORACLES = {"p2_found": _P2_FOUND}
