@@ -16,6 +16,7 @@ phone; the same surface twice in a text is one finding; repeated documents each
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -77,7 +78,8 @@ _RUN = re.compile(rf"(?<![\w@#_./-])(?:{_INITIALS}[ \t]*)?{_WORD}(?:[ \t]+(?:{_I
 _INVERTED = re.compile(rf"(?<![\w@#_./-])((?:[{_UPPER}]{{2,}})(?:[-'’][{_UPPER}]{{2,}})*), ({_WORD})(?=\W)")
 _PARTS = re.compile(rf"[{_UPPER}]\.|{_WORD}")
 _BEFORE = re.compile(r"([^\W\d]+|\d|[^\w\s]|\ue000)[ \t]*\Z")
-_AFTER = re.compile(r"['’]s\b|[^\W\d]+|\d|[^\w\s]|\n|\ue000")
+_AFTER = re.compile(r"[ \t]*(['’]s\b|[^\W\d]+|\d|[^\w\s]|\n|\Z)[ \t]*([^\W\d]+|\d|[^\w\s]|\n|\Z)?")
+_LOWER = re.compile(r"(?<!\w)[a-zß-öø-ÿ]\w+")
 _TITLE = re.compile(rf"\b(?:{'|'.join(TITLES)})\.?[ \t]*\Z", re.IGNORECASE)
 
 SPAN_SCHEMA = "doc_id long, kind string, start int, end int, surface string, terms array<struct<term:string,at:int,until:int,initial:boolean,follow:int>>, left string, right string"
@@ -103,9 +105,14 @@ def _context(text: str, start: int, end: int) -> tuple[str, str]:
         m = _BEFORE.search(head)
         left = m[1].lower() if m else "?"
         left = "#" if left.isdigit() else left
-    m = _AFTER.search(text, end)
-    right = m[0].lower() if m and not text[end : m.start()].strip() else "$"
-    return left, "#" if right.isdigit() else right
+    m = _AFTER.match(text, end)
+    return left, " ".join(_token_class(x) for x in m.groups()) if m else "?"
+
+
+def _token_class(token: str | None) -> str:
+    if not token:
+        return "$"
+    return "#" if token.isdigit() else "C" if token[0].isupper() else token
 
 
 def capital_runs(text: str) -> Iterator[tuple[int, int, list[tuple[str, int, int, bool, int]], str, str]]:
@@ -137,12 +144,13 @@ def capital_runs(text: str) -> Iterator[tuple[int, int, list[tuple[str, int, int
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """SPAN_SCHEMA: everything found by its form, and every capitalised run (kind 'run') with its context."""
+    """SPAN_SCHEMA: what is found by its form, every capitalised run (kind 'run') with its context, and how often each word
+    is written in lower case (kind 'lower', the count under start)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["doc_id", "kind", "start", "end", "surface", "terms", "left", "right"]
         for pdf in batches:
-            out, size = [], 0
+            out, size, lower = [], 0, Counter()
             for doc_id, body in zip(pdf["doc_id"], pdf["text"], strict=True):
                 if not body:
                     continue
@@ -150,11 +158,13 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 out += [(doc_id, kind, a, b, body[a:b], None, None, None) for kind, a, b in spans]
                 for a, b, terms, left, right in capital_runs(masked):
                     out.append((doc_id, "run", a, b, body[a:b], [{"term": t, "at": x, "until": y, "initial": i, "follow": f} for t, x, y, i, f in terms], left, right))
+                lower.update(_LOWER.findall(masked))
                 size += len(body)
                 if size > 2_000_000:  # a yield holds the findings of about so much text
                     yield pd.DataFrame(out, columns=names)
                     out, size = [], 0
-            yield pd.DataFrame(out, columns=names)
+            out += [(None, "lower", n, None, word, None, None, None) for word, n in lower.items()]
+            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "start": "Int32", "end": "Int32"})
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, SPAN_SCHEMA)
 
@@ -171,14 +181,16 @@ def term_contexts(spans: DataFrame) -> DataFrame:
     )
 
 
-def disclosure(contexts: DataFrame, rounds: int = 4, damping: float = 3.0) -> DataFrame:
+def disclosure(contexts: DataFrame, lower: DataFrame, rounds: int = 4, damping: float = 3.0) -> DataFrame:
     """(term, n, score, bits, lead_share): how strongly each term reveals a person.
 
     score is the mean probability of a person over the term's occurrences, bits its pointwise mutual information with
     'person'. Context probabilities are those of the pair of neighbours, backed by those of each neighbour alone.
     """
-    contexts = contexts.withColumn("back_left", F.concat(F.lit("l:"), "left")).withColumn("back_right", F.concat(F.lit("r:"), "right"))
-    scores = contexts.groupBy("term").agg((F.sum("n_initial") > 0).cast("double").alias("p"))
+    totals = contexts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_initial").alias("n_initial"), (F.sum("n_lead") / F.greatest(F.sum("n_front"), F.lit(1))).alias("lead_share"))
+    # words that are mostly written in lower case are words, however they stand at the start of a sentence
+    about = materialise(totals.join(lower, "term", "left").withColumn("as_name", F.col("n") / (F.col("n") + F.coalesce("n_lower", F.lit(0)))), "disclosure-terms")
+    scores = about.select("term", F.when(F.col("n_initial") > 0, F.col("as_name")).otherwise(0.0).alias("p"))
     for i in range(rounds):
         marked = contexts.join(scores, "term")
         base = marked.agg((F.sum(F.col("n") * F.col("p")) / F.sum("n")).alias("base"))
@@ -189,12 +201,10 @@ def disclosure(contexts: DataFrame, rounds: int = 4, damping: float = 3.0) -> Da
         alone = F.greatest("q_left", "q_right") * 0.5 + F.least("q_left", "q_right") * 0.5
         joined = contexts.join(share(["left", "right"], "q"), ["left", "right"]).join(share(["left"], "q_left"), "left").join(share(["right"], "q_right"), "right")
         q = (F.col("n_q") * F.col("q") + damping * alone) / (F.col("n_q") + damping)
-        found = joined.groupBy("term").agg(F.sum("n").alias("total"), (F.sum(F.col("n") * q) / F.sum("n")).alias("score"))
+        found = joined.groupBy("term").agg((F.sum(F.col("n") * q) / F.sum("n")).alias("in_context")).join(about, "term").withColumn("score", F.col("in_context") * F.col("as_name"))
         if i < rounds - 1:
-            # a term's own count says how far its mean can be trusted
             scores = materialise(found.select("term", F.when(F.col("score") >= 0.5, 1.0).otherwise(F.col("score") * 0.5).alias("p")), "disclosure")
-    lead = contexts.groupBy("term").agg((F.sum("n_lead") / F.greatest(F.sum("n_front"), F.lit(1))).alias("lead_share"))
-    return found.join(lead, "term").crossJoin(F.broadcast(base)).select("term", F.col("total").alias("n"), "score", F.log2(F.col("score") / F.greatest("base", F.lit(1e-9))).alias("bits"), "lead_share")  # base is one row
+    return found.crossJoin(F.broadcast(base)).select("term", "n", "score", F.log2(F.col("score") / F.greatest("base", F.lit(1e-9))).alias("bits"), "lead_share")  # base is one row
 
 
 def names(spans: DataFrame, terms: DataFrame, threshold: float = 0.5, lead_limit: float = 0.3, salts: int = 16) -> DataFrame:
@@ -221,9 +231,10 @@ def findings(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     """(doc_id, kind, start, end) of all personal information, by character position."""
     spans = materialise(scan(docs, key, text), "pii-spans")
     contexts = materialise(term_contexts(spans), "pii-contexts")
-    terms = materialise(disclosure(contexts), "pii-terms")
+    lower = spans.filter("kind = 'lower'").groupBy(F.col("surface").alias("term")).agg(F.sum("start").alias("n_lower"))
+    terms = materialise(disclosure(contexts, lower), "pii-terms")
     found = names(spans, terms, threshold).select("doc_id", F.lit("name").alias("kind"), "start", "end")
-    return spans.filter("kind <> 'run'").select("doc_id", "kind", "start", "end").unionByName(found)
+    return spans.filter("kind not in ('run', 'lower')").select("doc_id", "kind", "start", "end").unionByName(found)
 
 
 def _slices(body: str | None, spans) -> list[tuple[str, str]]:
