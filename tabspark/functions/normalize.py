@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Spellings of flags.
 TRUE_WORDS, FALSE_WORDS = ("true", "1", "1.0", "t", "yes"), ("false", "0", "0.0", "f", "no")
@@ -65,7 +66,7 @@ def flag(c: Column, true_words: Sequence[str] = TRUE_WORDS, false_words: Sequenc
 def unsigned(c: Column) -> Column:
     """Plain digits below 2**63 as BIGINT."""
     wide = matching(F.trim(c.cast("string")), "[0-9]{1,19}").try_cast("decimal(38,0)")
-    return F.when(wide < 2**63, wide.cast("long"))
+    return F.when(wide <= F.lit("9223372036854775807").cast("decimal(38,0)"), wide.cast("long"))
 
 
 def bounded_decimal(c: Column, high: float | None = None) -> Column:
@@ -121,7 +122,7 @@ def latin_fold(c: Column) -> Column:
     return F.regexp_replace(F.lower(folded), "[^a-z0-9]", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def casefold_nfc(values: pd.Series) -> pd.Series:
     """NFC, case folded, single blanks. In Python: Spark has no Unicode normaliser; use it on distinct values."""
     return values.map(lambda v: None if v is None else " ".join(unicodedata.normalize("NFC", v).casefold().split()))

@@ -8,12 +8,13 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabspark.functions.normalize import contains, phrases
 
 # Words that turn a mention around, or into the past.
-NEGATION = r"\b(?:no|not|without|never|isn't|wasn't)\b"
-RETROSPECTIVE = r"\b(?:last (?:year|week|month)|previously|earlier|former)\b"
+NEGATION = r"(?:^|[^\p{L}\p{N}])(?:no|not|without|never|isn't|wasn't)(?:$|[^\p{L}\p{N}])"
+RETROSPECTIVE = r"(?:^|[^\p{L}\p{N}])(?:last (?:year|week|month)|previously|earlier|former)(?:$|[^\p{L}\p{N}])"
 
 
 def mentions(df: DataFrame, text: str, categories: Mapping[str, str], keep: list[str], most: int = 20) -> DataFrame:
@@ -92,7 +93,7 @@ def blocks_of(html: str | None) -> list[str] | None:
     return parser.blocks
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def html_blocks(pages: pd.Series) -> pd.Series:
     """Text blocks of HTML without navigation and other secondary content. In Python: HTML needs a parser."""
     return pages.map(blocks_of)

@@ -82,7 +82,7 @@ def _typed(counts: DataFrame, baseline: DataFrame) -> DataFrame:
     base = baseline.select("table_name", "column_name", "null_share", "low_value", "high_value", "distinct_low", "distinct_high", "shape")
     joined = counts.join(F.broadcast(base), ["table_name", "column_name"])  # one row per profiled column: bounded by the schemas
     fits = F.when(F.col("value").isNotNull(), F.expr(r"shape is null or value rlike concat('\\A(?:', shape, ')\\z')"))
-    return joined.withColumn("fits", fits).withColumn("number", F.when(F.col("fits"), F.expr("try_cast(value as double)")))
+    return joined.withColumn("fits", fits).withColumn("number", F.when(F.col("fits"), F.expr("try_cast(value as double) + 0.0D")))  # one zero
 
 
 def load_metrics(counts: DataFrame, baseline: DataFrame, bins: DataFrame) -> DataFrame:
