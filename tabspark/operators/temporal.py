@@ -31,11 +31,11 @@ def numbered(df: DataFrame, entity: str, at_us: str, tie: str, chunk_us: int = 3
     return placed.withColumn("__pos", F.col("__k") + F.col("__start")).drop("__chunk", "__k", "__e", "__c", "__start")
 
 
-def sliced(df: DataFrame, entity: str, at_us: str, tie: str, reach: int, slice_rows: int = 1_000_000) -> DataFrame:
+def sliced(df: DataFrame, entity: str, at_us: str, tie: str, reach: int, slice_rows: int = 1_000_000, chunk_us: int = 30 * DAY_US) -> DataFrame:
     """df in slices with a halo of ``reach`` rows: partition windows by (entity, __slice), order by __pos, then drop_halo."""
     if slice_rows <= reach:
         raise ValueError("a slice has to be longer than the reach")
-    placed = numbered(df, entity, at_us, tie)
+    placed = numbered(df, entity, at_us, tie, chunk_us)
     own = F.floor(F.col("__pos") / slice_rows)
     tail = F.col("__pos") % slice_rows >= slice_rows - reach
     return placed.withColumn("__own", own).withColumn("__slice", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))))
@@ -127,14 +127,54 @@ def asof_latest(history: DataFrame, queries: DataFrame, entity: str, history_us:
     return out.select(query_id, "offset_us", "status", *[F.when(F.col("status") == "found", F.col(c)).alias(c) for c in keep])
 
 
-def density(at_us: str, partition: Sequence[str], hours: int) -> Column:
-    """Rows in [t - hours, t)."""
-    return F.count("*").over(W.partitionBy(*partition).orderBy(at_us).rangeBetween(-hours * 3_600_000_000, -1))
+def _with_chunk_totals(df: DataFrame, entity: str, totals: dict[str, Column], carry) -> DataFrame:
+    """df joined to what precedes its chunk: totals are aggregates of a chunk, carry turns them into columns over the chunks before."""
+    sizes = df.groupBy(entity, "__chunk").agg(*[c.alias(n) for n, c in totals.items()])
+    before = W.partitionBy(entity).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)  # one row per chunk
+    starts = sizes.select(F.col(entity).alias("__e"), F.col("__chunk").alias("__c"), *carry(before))
+    return df.join(starts, F.col(entity).eqNullSafe(F.col("__e")) & F.col("__chunk").eqNullSafe(F.col("__c"))).drop("__e", "__c")
+
+
+def running_sums(df: DataFrame, entity: str, at_us: str, tie: str, sums: dict[str, Column], chunk_us: int = 30 * DAY_US) -> DataFrame:
+    """df with, for each name, the sum over the entity's rows before this one (0 at the start). A chunk of time is the largest group."""
+    work = df.withColumn("__chunk", F.floor(F.col(at_us) / chunk_us)).withColumns({f"__x_{n}": c for n, c in sums.items()})
+    work = _with_chunk_totals(work, entity, {f"__t_{n}": F.sum(f"__x_{n}") for n in sums}, lambda w: [F.coalesce(F.sum(f"__t_{n}").over(w), F.lit(0)).alias(f"__s_{n}") for n in sums])
+    inside = W.partitionBy(entity, "__chunk").orderBy(at_us, tie).rowsBetween(W.unboundedPreceding, -1)
+    out = work.withColumns({n: F.coalesce(F.sum(f"__x_{n}").over(inside), F.lit(0)) + F.col(f"__s_{n}") for n in sums})
+    return out.select(*df.columns, *sums)
+
+
+def last_known(df: DataFrame, entity: str, at_us: str, tie: str, columns: dict[str, str], chunk_us: int = 30 * DAY_US) -> DataFrame:
+    """df with, for each name, the last known value of a column up to and with this row. Never from later rows."""
+    work = df.withColumn("__chunk", F.floor(F.col(at_us) / chunk_us))
+    latest = {f"__t_{n}": F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(at_us, tie))) for n, c in columns.items()}
+    work = _with_chunk_totals(work, entity, latest, lambda w: [F.last(f"__t_{n}", ignorenulls=True).over(w).alias(f"__s_{n}") for n in columns])
+    inside = W.partitionBy(entity, "__chunk").orderBy(at_us, tie).rowsBetween(W.unboundedPreceding, 0)
+    out = work.withColumns({n: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"__s_{n}")) for n, c in columns.items()})
+    return out.select(*df.columns, *columns)
+
 
+def valid_prefix(df: DataFrame, entity: str, at_us: str, tie: str, bad: Column, name: str = "still_valid", chunk_us: int = 30 * DAY_US) -> DataFrame:
+    """df with true up to the first bad row of the entity; unknown counts as sound."""
+    flag = F.coalesce(bad, F.lit(False)).cast("long")
+    out = running_sums(df.withColumn("__bad", flag), entity, at_us, tie, {"__before": F.col("__bad")}, chunk_us)
+    return out.withColumn(name, F.col("__before") + F.col("__bad") == 0).drop("__before", "__bad")
 
-def left_censored(at_us: str, partition: Sequence[str], hours: int) -> Column:
-    """Whether the window of ``hours`` reaches to or before the first row."""
-    return F.col(at_us) - hours * 3_600_000_000 <= F.min(at_us).over(W.partitionBy(*partition))
+
+def densities(df: DataFrame, entity: str, at_us: str, hours: Sequence[int], chunk_us: int = 30 * DAY_US) -> DataFrame:
+    """df with n_<h>h, the entity's rows in [t - h, t), and censored_<h>h, whether that window reaches its first row.
+
+    Rows of a chunk's last ``max(hours)`` are also put into the next chunk, so a chunk of time is the largest group.
+    """
+    reach = max(hours) * 3_600_000_000
+    size = max(chunk_us, reach)
+    own, at = F.floor(F.col(at_us) / size), F.col(at_us)
+    cut = df.withColumn("__own", own).withColumn("__slice", F.explode(F.when(at >= (F.col("__own") + 1) * size - reach, F.array("__own", F.col("__own") + 1)).otherwise(F.array("__own"))))
+    w = W.partitionBy(entity, "__slice").orderBy(at_us)
+    counted = cut.withColumns({f"n_{h}h": F.count("*").over(w.rangeBetween(-h * 3_600_000_000, -1)) for h in hours}).filter("__slice = __own").drop("__slice", "__own")
+    first = df.groupBy(F.col(entity).alias("__e")).agg(F.min(at_us).alias("__first"))
+    out = counted.join(first, F.col(entity).eqNullSafe(F.col("__e")))
+    return out.withColumns({f"censored_{h}h": at - h * 3_600_000_000 <= F.col("__first") for h in hours}).drop("__e", "__first")
 
 
 def islands(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str, name: str = "island") -> DataFrame:
@@ -144,11 +184,36 @@ def islands(df: DataFrame, partition: Sequence[str], order: Sequence[str], value
     return df.withColumn("__new", new.cast("int")).withColumn(name, F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("__new")
 
 
-def run_length(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
-    """df with island, run_length (with this row) and prior_run (equal known values before it; null where the value is null)."""
-    cut = islands(df, partition, order, value)
-    k = F.row_number().over(W.partitionBy(*partition, "island").orderBy(*order))
-    return cut.withColumn("run_length", k).withColumn("prior_run", F.when(F.col(value).isNotNull(), k - 1))
+def run_length(df: DataFrame, entity: str, at_us: str, tie: str, value: str, chunk_us: int = 30 * DAY_US) -> DataFrame:
+    """df with run_length (equal known values up to and with this row), prior_run (without it; null where the value is
+    null), same_as_before (three-valued) and touches_start (whether the run begins at the entity's first row).
+
+    Runs are counted within chunks; a chunk that goes on with the value before it adds to what it was handed, and what is
+    handed on comes from sums over the chunks of the entity, one row each.
+    """
+    work = numbered(df, entity, at_us, tie, chunk_us).withColumn("__chunk", F.floor(F.coalesce(F.col(at_us), F.lit(-(2**62))) / chunk_us))
+    inside = W.partitionBy(entity, "__chunk").orderBy("__pos")
+    work = work.withColumn("__new", (~F.coalesce(F.col(value) == F.lag(value).over(inside), F.lit(False))).cast("long"))
+    work = work.withColumn("__isle", F.sum("__new").over(inside.rowsBetween(W.unboundedPreceding, 0)))
+    work = work.withColumn("__k", F.row_number().over(W.partitionBy(entity, "__chunk", "__isle").orderBy("__pos")))
+    chunks = work.groupBy(entity, "__chunk").agg(
+        F.min_by(value, "__pos").alias("__first"), F.max_by(value, "__pos").alias("__last"), F.max_by("__k", "__pos").alias("__tail"), F.count("*").alias("__n"), F.max("__isle").alias("__isles")
+    )
+    order = W.partitionBy(entity).orderBy("__chunk")
+    chunks = chunks.withColumn("__handed_value", F.lag("__last").over(order)).withColumn("__has_before", F.lag("__n").over(order).isNotNull())
+    goes_on = (F.col("__isles") == 1) & F.coalesce(F.col("__first") == F.col("__handed_value"), F.lit(False))
+    chunks = chunks.withColumn("__stretch", F.sum((~goes_on).cast("long")).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    along = W.partitionBy(entity, "__stretch").orderBy("__chunk").rowsBetween(W.unboundedPreceding, 0)
+    length = F.first("__tail").over(along) + F.sum("__n").over(along) - F.first("__n").over(along)
+    chunks = chunks.withColumn("__length", length).withColumn("__handed", F.lag("__length").over(order))
+    carry = chunks.select(F.col(entity).alias("__e"), F.col("__chunk").alias("__c"), "__handed_value", "__has_before", "__handed")
+    out = work.join(carry, F.col(entity).eqNullSafe(F.col("__e")) & (F.col("__chunk") == F.col("__c")))
+    continued = (F.col("__isle") == 1) & F.coalesce(F.col(value) == F.col("__handed_value"), F.lit(False))
+    run = F.col("__k") + F.when(continued, F.col("__handed")).otherwise(0)
+    before = F.when((F.col("__pos") > 0) & (F.col("__isle") == 1) & (F.col("__k") == 1), F.col("__handed_value")).otherwise(F.lag(value).over(inside))
+    out = out.withColumns({"run_length": run, "same_as_before": F.col(value) == before})
+    out = out.withColumns({"prior_run": F.when(F.col(value).isNotNull(), F.col("run_length") - 1), "touches_start": F.col("__pos") + 1 == F.col("run_length")})
+    return out.select(*df.columns, "run_length", "prior_run", "same_as_before", "touches_start")
 
 
 def same_as_before(value: str, window) -> Column:
@@ -176,7 +241,9 @@ def prior_distinct_day(df: DataFrame, entity: str, day: str, name: str = "prior_
     return df.join(earlier, [entity, day], "left")
 
 
-def arrival_gaps(df: DataFrame, entity: str, arrival: str, at_us: str, gap_us: int) -> DataFrame:
-    """df with reversed (time before that of the arrival before) and gap (more than gap_us after it)."""
-    prev = F.lag(at_us).over(W.partitionBy(entity).orderBy(arrival))
-    return df.withColumn("reversed", F.coalesce(F.col(at_us) < prev, F.lit(False))).withColumn("gap", F.coalesce(F.col(at_us) - prev > gap_us, F.lit(False)))
+def arrival_gaps(df: DataFrame, entity: str, arrival: str, at_us: str, gap_us: int, chunk: int = 1_000_000) -> DataFrame:
+    """df with reversed (time before that of the arrival before) and gap (more than gap_us after it), in slices of arrivals."""
+    cut = sliced(df, entity, arrival, arrival, 1, chunk_us=chunk)
+    prev = F.lag(at_us).over(slice_window(entity))
+    marked = cut.withColumn("reversed", F.coalesce(F.col(at_us) < prev, F.lit(False))).withColumn("gap", F.coalesce(F.col(at_us) - prev > gap_us, F.lit(False)))
+    return drop_halo(marked)

@@ -20,8 +20,6 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", "user_id", "event_type", "value", micros(F.col("ts")).alias("us"))
 
 
-def _by_user():
-    return W.partitionBy("user_id").orderBy("us", "event_id")
 
 
 @CATALOGUE.add(f"""WITH {_E} SELECT event_id, lag(value, 1) OVER w AS lag_1, lag(value, 2) OVER w AS lag_2, lag(value, 3) OVER w AS lag_3, lag(value, 5) OVER w AS lag_5,
@@ -128,8 +126,7 @@ def asof_latest_unique(spark: SparkSession, d: str) -> DataFrame:
 @CATALOGUE.add(f"""WITH {_E} SELECT event_id, {", ".join(f"count(*) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN {h * 3600000000} PRECEDING AND 1 PRECEDING) AS n_{h}h, us - {h * 3600000000} <= min(us) OVER (PARTITION BY user_id) AS censored_{h}h" for h in (72, 168, 336))} FROM e""")
 def trailing_density(spark: SparkSession, d: str) -> DataFrame:
     """WIN-13, 14."""
-    cols = [c for h in (72, 168, 336) for c in (t.density("us", ["user_id"], h).alias(f"n_{h}h"), t.left_censored("us", ["user_id"], h).alias(f"censored_{h}h"))]
-    return _events(spark, d).select("event_id", *cols)
+    return t.densities(_events(spark, d), "user_id", "us", [72, 168, 336]).drop("user_id", "event_type", "value", "us")
 
 
 @CATALOGUE.add(f"""WITH {_E}, v AS (SELECT *, nullif(event_type, 'error') AS kind FROM e),
@@ -140,8 +137,8 @@ FROM i WINDOW w AS (PARTITION BY user_id, island ORDER BY us, event_id)""")
 def run_lengths(spark: SparkSession, d: str) -> DataFrame:
     """WIN-15, 16, 17: runs of event types; errors are unknown and stand alone."""
     events = _events(spark, d).withColumn("kind", F.nullif(F.col("event_type"), F.lit("error")))
-    runs = t.run_length(events.withColumn("same_as_before", t.same_as_before("kind", _by_user())), ["user_id"], ["us", "event_id"], "kind")
-    return runs.select("event_id", "run_length", "prior_run", "same_as_before", (F.col("island") == 1).alias("touches_start"))
+    runs = t.run_length(events, "user_id", "us", "event_id", "kind", 7 * t.DAY_US)
+    return runs.select("event_id", "run_length", "prior_run", "same_as_before", "touches_start")
 
 
 @CATALOGUE.add(f"""WITH {_E} SELECT event_id, sum(CASE WHEN value < 0.2 THEN 1 ELSE 0 END) OVER r = 0 AS still_valid, CAST(coalesce(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) OVER b, 0) AS BIGINT) AS clicks_before,
@@ -150,21 +147,20 @@ FROM e WINDOW r AS (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PR
 def prefix_fill_running(spark: SparkSession, d: str) -> DataFrame:
     """WIN-18, 19, 20."""
     events = _events(spark, d).withColumn("bought", F.when(F.col("event_type") == "purchase", F.col("value")))
-    return events.select(
-        "event_id",
-        t.prefix_valid(F.col("value") < 0.2, _by_user()).alias("still_valid"),
-        t.running_before((F.col("event_type") == "click").cast("long"), _by_user()).alias("clicks_before"),
-        t.forward_fill("bought", _by_user()).alias("last_purchase"),
-    )
+    key = ("user_id", "us", "event_id")
+    out = t.valid_prefix(events, *key, F.col("value") < 0.2)
+    out = t.running_sums(out, *key, {"clicks_before": (F.col("event_type") == "click").cast("long")})
+    return t.last_known(out, *key, {"last_purchase": "bought"}).select("event_id", "still_valid", "clicks_before", "last_purchase")
 
 
 @CATALOGUE.add(f"""WITH {_E} SELECT event_id, coalesce(lag(event_type) OVER w, '') AS from_type, coalesce(NOT (lag(event_type) OVER w = 'error' AND event_type = 'purchase') AND NOT (lag(event_type) OVER w = 'signup' AND event_type = 'signup'), TRUE) AS allowed
 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)""")
 def transition_check(spark: SparkSession, d: str) -> DataFrame:
     """WIN-21."""
-    before, now = F.lag("event_type").over(_by_user()), F.col("event_type")
+    cut, w = t.sliced(_events(spark, d), "user_id", "us", "event_id", 1), t.slice_window("user_id")
+    before, now = F.lag("event_type").over(w), F.col("event_type")
     bad = ((before == "error") & (now == "purchase")) | ((before == "signup") & (now == "signup"))
-    return _events(spark, d).select("event_id", F.coalesce(before, F.lit("")).alias("from_type"), F.coalesce(~bad, F.lit(True)).alias("allowed"))
+    return t.drop_halo(cut.select("event_id", "__own", "__slice", "__pos", F.coalesce(before, F.lit("")).alias("from_type"), F.coalesce(~bad, F.lit(True)).alias("allowed")))
 
 
 @CATALOGUE.add("""WITH e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day FROM events), d AS (SELECT user_id, day, lag(day) OVER (PARTITION BY user_id ORDER BY day) AS prior FROM (SELECT DISTINCT user_id, day FROM e))
@@ -242,8 +238,8 @@ def schedule_context(spark: SparkSession, d: str) -> DataFrame:
     games = keep_first(table(spark, d, "nfl_schedule"), ["game_id", "team"], ["source_row_id"])
     games = games.select("game_id", "team", "opponent", "season", "is_home", F.col("source_coach_name").alias("coach"), F.split("game_id", "_")[1].try_cast("long").alias("week"))
     w = W.partitionBy("team", "season").orderBy("week", "game_id")
-    changed = ~t.same_as_before("coach", w)
-    runs = t.run_length(games.withColumns({"weeks_since": F.col("week") - F.lag("week").over(w), "coach_changed": changed}), ["team", "season"], ["week", "game_id"], "is_home")
+    games = games.withColumns({"weeks_since": F.col("week") - F.lag("week").over(w), "coach_changed": ~t.same_as_before("coach", w), "team_season": F.concat_ws("|", "team", "season")})
+    runs = t.run_length(games, "team_season", "week", "game_id", "is_home", 52)
     mine = runs.select("game_id", "team", "opponent", "weeks_since", "coach_changed", F.col("run_length").cast("long").alias("side_run"))
     other = mine.select("game_id", F.col("team").alias("opponent"), F.col("side_run").alias("__run"))
     return mine.join(other, ["game_id", "opponent"], "left").select("game_id", "team", "weeks_since", "coach_changed", "side_run", (F.col("side_run") - F.col("__run")).alias("side_run_gap"))
