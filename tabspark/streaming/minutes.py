@@ -36,23 +36,37 @@ def without_repeats(df: DataFrame, columns: Sequence[str], received: str, latene
     return df.withWatermark(received, lateness).dropDuplicatesWithinWatermark(list(columns))
 
 
+def in_archive_hour(received: Column, hour_start: Column) -> Column:
+    """Whether a receipt lies in the hour its archive is for; unknown counts as no."""
+    return F.coalesce((received >= hour_start) & (received < hour_start + F.expr("interval 1 hour")), F.lit(False))
+
+
+def split_writer(keep: Column, good_path: str, bad_path: str):
+    """For foreachBatch: rows that hold go to one folder, all others to the other; a batch that is run again replaces itself."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        marked = batch.withColumn("__keep", F.coalesce(keep, F.lit(False)))
+        for flag, path in ((True, good_path), (False, bad_path)):
+            marked.filter(F.col("__keep") == flag).drop("__keep").write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return write
+
+
 GAP_SCHEMA = "entity string, n_rows long, n_reversed long, n_gaps long"
 
 
-def gap_counts(df: DataFrame, entity: str, at: str, gap_s: float, timeout: str = "NoTimeout") -> DataFrame:
-    """Per entity and trigger: rows, order reversals and gaps since the trigger before. at is a TIMESTAMP; state is the last time."""
+def gap_counts(df: DataFrame, entity: str, at: str, sequence: str, gap_s: float) -> DataFrame:
+    """Per entity and trigger: rows, order reversals and gaps, going on from the trigger before. at is a TIMESTAMP.
+
+    sequence is the physical order of arrival; rows of a trigger are put into it. The state is the last time seen.
+    """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = reversals = gaps = 0
-        for pdf in batches:
-            for t in (pdf["__us"].astype("int64")).tolist():
-                if last is not None:
-                    reversals += t < last
-                    gaps += t - last > gap_s * 1_000_000
-                last, rows = t, rows + 1
-        state.update((last,))
-        yield pd.DataFrame({"entity": [key[0]], "n_rows": [rows], "n_reversed": [reversals], "n_gaps": [gaps]})
-
-    slim = df.select(F.col(entity).cast("string").alias("entity"), F.unix_micros(at).alias("__us"))
+        rows = pd.concat(list(batches)).sort_values("__seq")
+        times = ([state.get[0]] if state.exists else []) + rows["__us"].astype("int64").tolist()
+        steps = [b - a for a, b in zip(times, times[1:], strict=False)]
+        state.update((times[-1],))
+        yield pd.DataFrame({"entity": [key[0]], "n_rows": [len(rows)], "n_reversed": [sum(s < 0 for s in steps)], "n_gaps": [sum(s > gap_s * 1_000_000 for s in steps)]})
+
+    slim = df.filter(F.col(at).isNotNull()).select(F.col(entity).cast("string").alias("entity"), F.unix_micros(at).alias("__us"), F.col(sequence).cast("long").alias("__seq"))
     return slim.groupBy("entity").applyInPandasWithState(run, GAP_SCHEMA, "last long", "append", GroupStateTimeout.NoTimeout)
