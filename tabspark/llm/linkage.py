@@ -110,7 +110,7 @@ def records(df: DataFrame, id_col: str, one: str, two: str, tournament: str, day
     return out.filter("id is not null and p is not null and q is not null").distinct()
 
 
-def _keys(df: DataFrame, reach: int) -> DataFrame:
+def _keys(df: DataFrame, reach: int, is_left: bool) -> DataFrame:
     """Blocking keys. reach widens the days of one side, so that days within reach meet."""
     near = F.flatten(F.transform("days", lambda d: F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda k: d + k)))
     surnames = F.array_distinct(F.filter(F.array("p.last", "q.last", "p.tail", "q.tail"), lambda x: F.length(x) > 0))
@@ -126,7 +126,11 @@ def _keys(df: DataFrame, reach: int) -> DataFrame:
     by_initials = F.when(F.size(initials) == 2, F.transform(places, lambda w: F.concat_ws("|", F.lit("i"), w, F.array_join(F.array_sort(initials), "")))).otherwise(F.array().cast("array<string>"))
     other = lambda a, b: F.when((F.length(f"{a}.tail") > 0) & (F.length(f"{b}.first") > 0), F.concat_ws("|", F.lit("c"), f"{a}.tail", F.substring(f"{b}.first", 1, 1)))
     crossed = F.filter(F.array(other("p", "q"), other("q", "p")), lambda x: x.isNotNull())
-    return df.select("id", F.array_distinct(F.concat(by_day, by_place, both, undated, by_initials, crossed)).alias("keys"))
+    # keys without a day are for pairs of which one side has none: 'A' where the left has none, 'B' where the right has none
+    loose, undated_row = F.concat(undated, by_initials, crossed), F.size("days") == 0
+    tagged = lambda tag, wanted: F.when(wanted, F.transform(loose, lambda x: F.concat(F.lit(tag), x))).otherwise(F.array().cast("array<string>"))
+    both_sides = F.concat(tagged("A", undated_row if is_left else F.lit(True)), tagged("B", F.lit(True) if is_left else undated_row))
+    return df.select("id", F.array_distinct(F.concat(by_day, by_place, both, both_sides)).alias("keys"))
 
 
 def _word_weights(left: DataFrame) -> DataFrame:
@@ -149,7 +153,7 @@ def _tournament_score(words: Column, weights: Column, others: Column) -> Column:
 def link(left: DataFrame, right: DataFrame, threshold: float = 0.72, keep_share: float = 0.4, reach: int = 1, max_rounds: int = 6) -> DataFrame:
     """(left_id, right_id, confidence): left and right are results of records()."""
     left, right = materialise(left, "link-left"), materialise(right, "link-right")
-    edges = _pairs_by_rare_keys(_keys(left, reach), _keys(right, 0), keep_share)
+    edges = _pairs_by_rare_keys(_keys(left, reach, True), _keys(right, 0, False), keep_share)
     side = lambda df, tag: df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns])
     weights = _word_weights(left).select(F.col("words").alias("l_words"), F.col("weights").alias("l_weights"))
     both = edges.join(side(left, "l"), F.col("left_id") == F.col("l_id")).join(side(right, "r"), F.col("right_id") == F.col("r_id")).join(weights, "l_words", "left")
