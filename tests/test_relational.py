@@ -89,3 +89,10 @@ def test_calibrated_interval_and_split_sizes(spark):
     evaluation.check_split_sizes(df, "split", ["calibration", "holdout"])
     with pytest.raises(ValueError):
         evaluation.check_split_sizes(df, "split", ["fit"])
+
+
+def test_boosted_trees_beat_the_mean(spark):
+    df = spark.range(400).select((F.col("id") % 20).cast("double").alias("a"), F.when(F.col("id") % 3 > 0, (F.col("id") % 7).cast("double")).alias("b"), (F.col("id") % 20 * 3.0).alias("y"))
+    model = evaluation.boosted(df, ["a", "b"], "y", rounds=5)
+    scored = model.transform(df).agg(*aggs.error_metrics(F.col("y"), F.col("prediction"))).first()
+    assert scored["n"] == 400 and scored["mae"] < 13
