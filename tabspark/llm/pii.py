@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabspark.llm.partitions import spread
 from tabspark.session import materialise
 
 _UPPER = "A-Z" + "".join(chr(c) for c in range(0xC0, 0x250) if chr(c).isupper())
@@ -77,12 +78,12 @@ _INITIALS = rf"(?:[{_UPPER}]\.[ \t]?)+"
 _RUN = re.compile(rf"(?<![\w@#_./-])(?:{_INITIALS}[ \t]*)?{_WORD}(?:[ \t]+(?:{_INITIALS}[ \t]*)?{_WORD})*")
 _INVERTED = re.compile(rf"(?<![\w@#_./-])((?:[{_UPPER}]{{2,}})(?:[-'’][{_UPPER}]{{2,}})*), ({_WORD})(?=\W)")
 _PARTS = re.compile(rf"[{_UPPER}]\.|{_WORD}")
-_BEFORE = re.compile(r"([^\W\d]+|\d|[^\w\s]|\ue000)[ \t]*\Z")
 _AFTER = re.compile(r"[ \t]*(['’]s\b|[^\W\d]+|\d|[^\w\s]|\n|\Z)[ \t]*([^\W\d]+|\d|[^\w\s]|\n|\Z)?")
 _LOWER = re.compile(r"(?<!\w)[a-zß-öø-ÿ]\w+")
-_TITLE = re.compile(rf"\b(?:{'|'.join(TITLES)})\.?[ \t]*\Z", re.IGNORECASE)
+_TITLES = frozenset(TITLES)
 
-SPAN_SCHEMA = "doc_id long, kind string, start int, end int, surface string, terms array<struct<term:string,at:int,until:int,initial:boolean,follow:int>>, left string, right string"
+_TERM_FIELDS = ("term", "at", "until", "initial", "follow")
+_SCAN_SCHEMA = "doc_id long, kind string, start int, end int, surface string, term array<string>, at array<int>, until array<int>, initial array<boolean>, follow array<int>, left string, right string"
 
 
 def mask_forms(text: str) -> tuple[list[tuple[str, int, int]], str]:
@@ -96,15 +97,20 @@ def mask_forms(text: str) -> tuple[list[tuple[str, int, int]], str]:
 
 
 def _context(text: str, start: int, end: int) -> tuple[str, str]:
-    head = text[max(0, start - 40) : start]
-    if _TITLE.search(head):
-        left = "TITLE"
-    elif not head.strip(" \t") or head.rstrip(" \t")[-1] in ".!?\n":
-        left = "^"
-    else:
-        m = _BEFORE.search(head)
-        left = m[1].lower() if m else "?"
-        left = "#" if left.isdigit() else left
+    i = start
+    while i and text[i - 1] in " \t":
+        i -= 1
+    left = "^"
+    if i:
+        last = text[i - 1]
+        j = k = i - (last == ".")
+        while k and text[k - 1].isalpha():
+            k -= 1
+        word = text[k:j].lower()
+        if word in _TITLES:
+            left = "TITLE"
+        elif last not in ".!?\n":
+            left = word or ("#" if last.isdigit() else last)
     m = _AFTER.match(text, end)
     return left, " ".join(_token_class(x) for x in m.groups()) if m else "?"
 
@@ -127,10 +133,10 @@ def capital_runs(text: str) -> Iterator[tuple[int, int, list[tuple[str, int, int
         if taken and any(a < end and start < b for a, b in taken):
             continue
         parts = [(p[0], start + p.start(), start + p.end()) for p in _PARTS.finditer(m[0])]
-        while parts and parts[0][0].rstrip(".").lower() in TITLES and len(parts) > 1:
+        while parts and parts[0][0].rstrip(".").lower() in _TITLES and len(parts) > 1:
             parts.pop(0)
         key, a, b = parts[-1]
-        if re.search(r"['’]s\Z", key):
+        if key.endswith(("'s", "’s")):
             parts[-1] = (key[:-2], a, b - 2)
         elif key[-1] in "'’":
             parts[-1] = (key[:-1], a, b - 1)
@@ -144,29 +150,31 @@ def capital_runs(text: str) -> Iterator[tuple[int, int, list[tuple[str, int, int
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """SPAN_SCHEMA: what is found by its form, every capitalised run (kind 'run') with its context, and how often each word
+    """(doc_id, kind, start, end, surface, terms, left, right): what is found by its form, every capitalised run (kind 'run') with its context, and how often each word
     is written in lower case (kind 'lower', the count under start)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["doc_id", "kind", "start", "end", "surface", "terms", "left", "right"]
+        names = ["doc_id", "kind", "start", "end", "surface", *_TERM_FIELDS, "left", "right"]
+        none = (None,) * 7
         for pdf in batches:
             out, size, lower = [], 0, Counter()
             for doc_id, body in zip(pdf["doc_id"], pdf["text"], strict=True):
                 if not body:
                     continue
                 spans, masked = mask_forms(body)
-                out += [(doc_id, kind, a, b, body[a:b], None, None, None) for kind, a, b in spans]
-                for a, b, terms, left, right in capital_runs(masked):
-                    out.append((doc_id, "run", a, b, body[a:b], [{"term": t, "at": x, "until": y, "initial": i, "follow": f} for t, x, y, i, f in terms], left, right))
+                out += [(doc_id, kind, a, b, body[a:b], *none) for kind, a, b in spans]
+                out += [(doc_id, "run", a, b, None, *(list(x) for x in zip(*terms, strict=True)), left, right) for a, b, terms, left, right in capital_runs(masked)]
                 lower.update(_LOWER.findall(masked))
                 size += len(body)
                 if size > 2_000_000:  # a yield holds the findings of about so much text
                     yield pd.DataFrame(out, columns=names)
                     out, size = [], 0
-            out += [(None, "lower", n, None, word, None, None, None) for word, n in lower.items()]
+            out += [(None, "lower", n, None, word, *none) for word, n in lower.items()]
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "start": "Int32", "end": "Int32"})
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, SPAN_SCHEMA)
+    texts = spread(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")))
+    found = texts.mapInPandas(run, _SCAN_SCHEMA)
+    return found.select("doc_id", "kind", "start", "end", "surface", F.arrays_zip(*_TERM_FIELDS).alias("terms"), "left", "right")
 
 
 def term_contexts(spans: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabspark.llm import linkage, mixing, nearest_time, packing, pii, tokens
+from tabspark.llm.partitions import spread
 from tabspark.operators import timestamps
 from tabspark.session import materialise, table
 
@@ -58,7 +59,7 @@ SELECT snapshot_id, update_id FROM j WHERE k = 1"""
 
 def _sized_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens) of all documents, written once: every text is encoded once."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return materialise(tokens.with_token_counts(docs).select("doc_id", "source", "n_tokens"), "document-sizes")
 
 
