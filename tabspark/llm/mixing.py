@@ -65,7 +65,7 @@ def schedule(spark, sources: list[Source], slots: int) -> DataFrame:
     return at.withColumn("k", turn).join(starts, ["source", "chunk"]).select("slot", "source", (F.col("k") + F.col("start")).alias("turn"))
 
 
-def mix(docs: DataFrame, targets: DataFrame, seed: int = 41, blocks_per_source: int = 64) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, seed: int = 41, blocks_per_source: int = 512) -> DataFrame:
     """(slot, source, use_no, doc_id, n_tokens): docs is (doc_id, source, n_tokens)."""
     spark = docs.sparkSession
     docs = docs.filter("n_tokens > 0")
@@ -73,13 +73,16 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 41, blocks_per_source:
     if not sources:
         return docs.select(F.lit(0).cast("long").alias("slot"), "source", F.lit(0).cast("long").alias("use_no"), "doc_id", "n_tokens").limit(0)
     size = block_size(sources, blocks_per_source)
-    slots = int(min(s.tokens * s.repeats / s.share for s in sources) // size)
+    # each source is cut into a whole number of equal blocks; a slot's weight makes up for what its blocks are smaller or larger
+    blocks = {s.name: max(1, round(s.tokens / size)) for s in sources}
+    weights = {s.name: s.share * blocks[s.name] / s.tokens for s in sources}
+    slots = int(min(s.tokens * s.repeats / s.share for s in sources) * sum(weights.values()))
+    by_slot = [Source(s.name, weights[s.name] / sum(weights.values()), s.repeats, s.tokens) for s in sources]
+    limits = F.broadcast(spark.createDataFrame([(s.name, blocks[s.name], s.repeats, s.tokens) for s in sources], "source string, blocks long, repeats long, tokens long"))  # one row per target source
     wanted = docs.filter(F.col("source").isin([s.name for s in sources]))
-    placed = ranked(wanted, "source", F.xxhash64("doc_id", F.lit(seed)), ["doc_id"], shard_count(spark), "n_tokens")
-    cut = placed.select("source", "doc_id", "n_tokens", F.floor(F.col("before") / size).cast("long").alias("block"))
-    rows = [(s.name, -(-s.tokens // size), s.repeats) for s in sources]
-    limits = spark.createDataFrame(rows, "source string, blocks long, repeats long")
-    uses = schedule(spark, sources, slots).join(F.broadcast(limits), "source")  # one row per target source
+    placed = ranked(wanted, "source", F.xxhash64("doc_id", F.lit(seed)), ["doc_id"], shard_count(spark), "n_tokens").join(limits, "source")
+    cut = placed.select("source", "doc_id", "n_tokens", F.least(F.floor(F.col("before") / (F.col("tokens") / F.col("blocks"))), F.col("blocks") - 1).cast("long").alias("block"))
+    uses = schedule(spark, by_slot, slots).join(limits, "source")
     uses = uses.select("slot", "source", F.pmod("turn", "blocks").alias("block"), F.floor(F.col("turn") / F.col("blocks")).cast("long").alias("use_no"), "repeats").filter("use_no < repeats")
     return uses.join(cut, ["source", "block"]).select("slot", "source", "use_no", "doc_id", "n_tokens")
 
