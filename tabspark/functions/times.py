@@ -12,16 +12,25 @@ def has_zone(text: Column) -> Column:
     return F.coalesce(F.trim(text).rlike(r"(?i)(z|[+-]\d{2}:?\d{2})$") & text.rlike(r"\d:\d{2}"), F.lit(False))
 
 
+def _iso(text: Column) -> Column:
+    """ISO text with a whole day, the basic form (20210101T100000Z) as the extended one; else null.
+
+    A cast alone takes a bare time ('10:15') as today's and a bare month as its first day.
+    """
+    clean = F.regexp_replace(F.trim(text), r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})", "$1-$2-$3T$4:$5:$6")
+    return F.when(clean.rlike(r"^\d{4}-\d{2}-\d{2}"), clean)
+
+
 def instant(text: Column, need_zone: bool = False) -> Column:
     """TIMESTAMP of ISO text; null where unreadable, and, if so asked, where no zone is given."""
-    read = F.trim(text).try_cast("timestamp")
+    read = _iso(text).try_cast("timestamp")
     return F.when(has_zone(text), read) if need_zone else read
 
 
 def precision_class(text: Column) -> Column:
     """'source_timestamp', 'source_calendar_date' or 'unknown'."""
-    read = F.trim(text).try_cast("timestamp")
-    return F.when(read.isNull(), "unknown").when(text.rlike(r"\d{2}:\d{2}"), "source_timestamp").otherwise("source_calendar_date")
+    clean = _iso(text)
+    return F.when(clean.try_cast("timestamp").isNull(), "unknown").when(clean.rlike(r"\d{2}:\d{2}"), "source_timestamp").otherwise("source_calendar_date")
 
 
 def calendar_date(text: Column) -> Column:

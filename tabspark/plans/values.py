@@ -29,14 +29,27 @@ def calendar_split_3way(spark: SparkSession, d: str) -> DataFrame:
 SELECT source_row_id, CASE WHEN ts IS NULL THEN 'unknown_date' WHEN strftime(ts, '%m-%d') IN ('12-31', '01-01') AND len(game_date) = 10 THEN 'date_precision_unresolved' WHEN ts < TIMESTAMP '2020-01-01' THEN 'development' ELSE 'holdout' END AS split,
 CASE WHEN ts IS NULL THEN 'unknown' WHEN len(game_date) > 10 THEN 'source_timestamp' ELSE 'source_calendar_date' END AS precision_class FROM s""")
 def calendar_split_boundary(spark: SparkSession, d: str) -> DataFrame:
-    """K7 with a class for days that can't tell the side; DT-03."""
-    rows = table(spark, d, "nfl_schedule").filter(n.full_match(F.col("game_date"), r"[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2}:[0-9]{2}:[0-9]{2})?"))
+    """K7 with a class for days that can't tell the side; DT-03. Only the rows of its SQL twin; all rows: calendar_split_boundary_all."""
+    return _boundary_split(table(spark, d, "nfl_schedule").filter(n.full_match(F.col("game_date"), r"[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2}:[0-9]{2}:[0-9]{2})?")))
+
+
+def _boundary_split(rows: DataFrame) -> DataFrame:
     ts, kind = times.instant(F.col("game_date")), times.precision_class(F.col("game_date"))
     days = [f"{y}-{md}" for y in range(1999, 2031) for md in ("12-31", "01-01")]
     split = times.calendar_split(ts, ["2020-01-01"], ["development", "holdout"], boundary_days=days, boundary_when=kind == "source_calendar_date")
     return rows.select("source_row_id", split.alias("split"), kind.alias("precision_class"))
 
 
+@CATALOGUE.add("""WITH c AS (SELECT source_row_id, regexp_replace(trim(game_date), '^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})([0-9]{2})([0-9]{2})', '\\1-\\2-\\3T\\4:\\5:\\6') AS clean FROM nfl_schedule),
+z AS (SELECT source_row_id, clean, regexp_full_match(clean, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AS bare, regexp_replace(clean, '([+-][0-9]{2})([0-9]{2})$', '\\1:\\2') AS zoned FROM c),
+s AS (SELECT source_row_id, bare, CASE WHEN bare THEN CAST(TRY_CAST(clean AS DATE) AS TIMESTAMP) WHEN regexp_full_match(zoned, '[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?') THEN TRY_CAST(TRY_CAST(zoned AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) END AS ts FROM z)
+SELECT source_row_id, CASE WHEN ts IS NULL THEN 'unknown_date' WHEN strftime(ts, '%m-%d') IN ('12-31', '01-01') AND bare THEN 'date_precision_unresolved' WHEN ts < TIMESTAMP '2020-01-01' THEN 'development' ELSE 'holdout' END AS split,
+CASE WHEN ts IS NULL THEN 'unknown' WHEN bare THEN 'source_calendar_date' ELSE 'source_timestamp' END AS precision_class FROM s""")
+def calendar_split_boundary_all(spark: SparkSession, d: str) -> DataFrame:
+    """K7, DT-03: every row; what is no ISO text (epochs, month names, slashes, bare times and months) is unknown_date (p6_readings reads those)."""
+    return _boundary_split(table(spark, d, "nfl_schedule"))
+
+
 @CATALOGUE.add("""WITH p AS (SELECT *, CASE WHEN regexp_full_match(trim(minutes), '[+-]?[0-9]+([.][0-9]*)?') THEN TRY_CAST(minutes AS DOUBLE) END AS mins FROM nba_player_games)
 SELECT box_row_id, CASE WHEN mins = floor(mins) THEN CAST(CAST(mins AS BIGINT) AS VARCHAR) END AS minutes_id, mins AS minutes, CASE WHEN lower(trim(is_home)) IN ('true', '1', '1.0', 't', 'yes') THEN TRUE WHEN lower(trim(is_home)) IN ('false', '0', '0.0', 'f', 'no') THEN FALSE END AS is_home,
 CASE WHEN regexp_full_match(player_id, '[1-9][0-9]*') THEN player_id END AS player_id, lpad(regexp_replace(trim(game_id), '[.]0$', ''), 10, '0') AS game_key, CASE WHEN regexp_full_match(trim(points), '[0-9]{1,18}') THEN CAST(trim(points) AS BIGINT) END AS points FROM p""")

@@ -41,6 +41,22 @@ def test_times(spark):
     assert _one(spark, ["1478654100000", "1", "x"], lambda c: times.epoch_ms(c, 2010).isNull()) == [False, True, True]
 
 
+def test_instant_reads_whole_days_only(spark):
+    texts = ["10:15", "2009-09", "20210101T100000Z", "2021-01-01 05:00:00.000-0500", "2021-01-01T10:00:00.000000883Z", "1252243800", "TBD", None, "2021-01-01"]
+    assert _one(spark, texts, lambda c: times.instant(c).cast("string")) == [None, None, *["2021-01-01 10:00:00"] * 3, None, None, None, "2021-01-01 00:00:00"]
+    assert _one(spark, texts, times.precision_class) == ["unknown", "unknown", *["source_timestamp"] * 3, "unknown", "unknown", "unknown", "source_calendar_date"]
+
+
+def test_boundary_split_keeps_every_row(spark, tmp_path):
+    from tabspark.plans import values
+
+    texts = ["2019-12-31", "2019-12-31T23:00:00Z", "2019-12-31T23:00:00-05:00", "10 Dec 2009 8:15 PM", "00:20", None]
+    spark.createDataFrame(list(enumerate(texts)), "source_row_id long, game_date string").write.parquet(f"{tmp_path}/nfl_schedule.parquet")
+    got = {r[0]: (r[1], r[2]) for r in values.calendar_split_boundary_all(spark, str(tmp_path)).collect()}
+    unknown = ("unknown_date", "unknown")
+    assert got == {0: ("date_precision_unresolved", "source_calendar_date"), 1: ("development", "source_timestamp"), 2: ("holdout", "source_timestamp"), 3: unknown, 4: unknown, 5: unknown}
+
+
 def test_math(spark):
     assert _one(spark, [150.0, -200.0, 0.0, None], mathx.decimal_odds, "double") == [2.5, 1.5, None, None]
     assert _one(spark, [-1.0, 5.0, None], lambda c: mathx.clip(c, 0, 3), "double") == [0.0, 3.0, None]
