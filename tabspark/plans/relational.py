@@ -201,10 +201,17 @@ def long_metrics(spark: SparkSession, d: str) -> DataFrame:
 @CATALOGUE.add("""WITH p AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_quantity = 50), a AS (SELECT l_partkey, count(*) AS a_degree FROM p GROUP BY ALL), b AS (SELECT l_suppkey, count(*) AS b_degree FROM p GROUP BY ALL)
 SELECT l_partkey, l_suppkey, a_degree, b_degree, a_degree = 1 AND b_degree = 1 AS is_bijective FROM p JOIN a USING (l_partkey) JOIN b USING (l_suppkey)""")
 def bijectivity(spark: SparkSession, d: str) -> DataFrame:
-    """AGG-14, JX-03."""
+    """AGG-14, JX-03, over the rows of its SQL twin (one quantity of 50): degrees there are not those of the table. All rows: bijectivity_all."""
     return aggs.bijectivity(table(spark, d, "lineitem").filter("l_quantity = 50"), "l_partkey", "l_suppkey")
 
 
+@CATALOGUE.add("""WITH p AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL), a AS (SELECT l_partkey, count(*) AS a_degree FROM p GROUP BY ALL), b AS (SELECT l_suppkey, count(*) AS b_degree FROM p GROUP BY ALL)
+SELECT l_partkey, l_suppkey, a_degree, b_degree, a_degree = 1 AND b_degree = 1 AS is_bijective FROM p JOIN a USING (l_partkey) JOIN b USING (l_suppkey)""")
+def bijectivity_all(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-14, JX-03 over every line item."""
+    return aggs.bijectivity(table(spark, d, "lineitem"), "l_partkey", "l_suppkey")
+
+
 @CATALOGUE.add("""SELECT o_custkey, count(*) AS n_orders, """ + ", ".join(f"CASE WHEN count(*) >= 5 THEN count(*) FILTER (WHERE o_orderpriority = '{p}') END AS n_{c}" for p, c in (("1-URGENT", "1_urgent"), ("2-HIGH", "2_high"), ("5-LOW", "5_low"))) + " FROM orders GROUP BY ALL")
 def vocabulary_counts(spark: SparkSession, d: str) -> DataFrame:
     """AGG-16: counts per priority; null below five orders."""
