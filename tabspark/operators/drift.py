@@ -205,33 +205,65 @@ def schema_changes(lineage: DataFrame) -> DataFrame:
 
 
 def _name_groups(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Names of one kind of feed joined by renames seen at least once per 50 files of the rarer name; the most used name stands for all."""
-    uses = pdf[pdf["old_name"] == pdf["new_name"]].groupby("new_name")["n"].sum().to_dict()
-    parent = {x: x for x in set(pdf["old_name"]) | set(pdf["new_name"])}
-
-    def root(x: str) -> str:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for old, new, n in zip(pdf["old_name"], pdf["new_name"], pdf["n"], strict=True):
-        if old != new and n * 50 >= min(uses.get(old, 0), uses.get(new, 0)):
-            parent[root(old)] = root(new)
-    groups: dict[str, list[str]] = {}
-    for x in parent:
-        groups.setdefault(root(x), []).append(x)
-    rows = [(pdf["feed_kind"].iloc[0], x, max(sorted(g), key=lambda y: uses.get(y, 0))) for g in groups.values() for x in sorted(g)]
+    """Names of one kind of feed joined by their renames, in any direction and however few; the most used name stands for all.
+
+    Two groups stay apart only if more feeds have names of both side by side in a file than renamed one to the other.
+    """
+    count: dict[str, dict[tuple[str, str], int]] = {"field": {}, "renamed": {}, "together": {}}
+    for what, old, new, n in zip(pdf["what"], pdf["old_name"], pdf["new_name"], pdf["n"], strict=True):
+        pair = (min(old, new), max(old, new))
+        count[what][pair] = count[what].get(pair, 0) + n
+    uses = {x: n for (x, _), n in count["field"].items()}
+    group = {x: {x} for x in uses}
+    joined = True
+    while joined:
+        joined = False
+        for (a, b), _ in sorted(count["renamed"].items(), key=lambda p: (-p[1], p[0])):
+            one, two = group[a], group[b]
+            if one is not two:
+                seen = {w: sum(count[w].get((min(x, y), max(x, y)), 0) for x in one for y in two) for w in ("renamed", "together")}
+                if seen["together"] <= seen["renamed"]:
+                    one |= two
+                    group |= dict.fromkeys(two, one)
+                    joined = True
+    rows = [(pdf["feed_kind"].iloc[0], x, max(sorted(group[x]), key=lambda y: uses[y])) for x in sorted(uses)]
     return pd.DataFrame(rows, columns=["feed_kind", "field", "canonical"])
 
 
+def _feed_names(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Each attribute of a feed under the name that stands for most of its files; attributes of one file never share a name."""
+    files = {k: set(v) for k, v in pdf.groupby("attribute")["file_no"]}
+    wanted = {k: sorted(v.value_counts().items(), key=lambda x: (-x[1], x[0])) for k, v in pdf.groupby("attribute")["canonical"]}
+    own = {k: sorted(v.value_counts().items(), key=lambda x: (-x[1], x[0])) for k, v in pdf.groupby("attribute")["field"]}
+    name: dict[int, str] = {}
+    holders: dict[str, list[int]] = {}
+    for k in sorted(files, key=lambda k: (wanted[k][0][0] not in dict(own[k]), -len(files[k]), k)):
+        choices = [wanted[k][0][0], *[x for x, _ in own[k]], f"{own[k][0][0]} {k}"]
+        name[k] = next((x for x in choices if not any(files[k] & files[other] for other in holders.get(x, []))), choices[-1])
+        holders.setdefault(name[k], []).append(k)
+    return pdf[["feed_kind", "feed_id", "file_no", "field"]].assign(canonical=pdf["attribute"].map(name))
+
+
 def canonical_names(lineage: DataFrame, kind: Column) -> DataFrame:
-    """(feed_kind, field, canonical): one name for each attribute of a kind of feed. Works on counts of names, one row per pair."""
-    pairs = lineage.filter("change_kind in ('field', 'renamed')").select(kind.alias("feed_kind"), "old_name", "new_name").groupBy("feed_kind", "old_name", "new_name").agg(F.count("*").alias("n"))
-    return pairs.groupBy("feed_kind").applyInPandas(_name_groups, "feed_kind string, field string, canonical string")
+    """(feed_kind, feed_id, file_no, field, canonical): one name for each attribute of a kind of feed.
+
+    Within a feed the lineage decides. Across feeds names meet by counts of feeds, one row per pair of names; a feed's own
+    part then sees one row per file and field.
+    """
+    tagged = materialise(lineage.filter("change_kind in ('field', 'renamed')").withColumn("feed_kind", kind), "drift-lineage")
+    fields, feeds = tagged.filter("change_kind = 'field'").select("feed_kind", "feed_id", "file_no", F.col("new_name").alias("field"), "attribute"), F.countDistinct("feed_id").alias("n")
+    pair = ["feed_kind", "old_name", "new_name"]
+    other = fields.select("feed_kind", "feed_id", "file_no", F.col("field").alias("new_name"))
+    together = fields.withColumnRenamed("field", "old_name").join(other, ["feed_kind", "feed_id", "file_no"]).filter("old_name < new_name").groupBy(*pair).agg(feeds)
+    renamed = tagged.filter("change_kind = 'renamed'").groupBy(*pair).agg(feeds)
+    used = fields.groupBy("feed_kind", F.col("field").alias("old_name"), F.col("field").alias("new_name")).agg(F.count("*").alias("n"))
+    counts = used.withColumn("what", F.lit("field")).unionByName(renamed.withColumn("what", F.lit("renamed"))).unionByName(together.withColumn("what", F.lit("together")))
+    groups = counts.groupBy("feed_kind").applyInPandas(_name_groups, "feed_kind string, field string, canonical string")
+    named = fields.join(groups, ["feed_kind", "field"]).select("feed_kind", "feed_id", "file_no", "field", "attribute", "canonical")
+    return named.groupBy("feed_kind", "feed_id").applyInPandas(_feed_names, "feed_kind string, feed_id string, file_no long, field string, canonical string")
 
 
 def unified(cells: DataFrame, names: DataFrame, kind: Column, id_cols: list[str]) -> DataFrame:
     """(feed_kind, id_cols..., attribute, value, json_type): all records of all files under one set of names."""
     tagged = cells.withColumn("feed_kind", kind)
-    return tagged.join(names, ["feed_kind", "field"]).select("feed_kind", *id_cols, F.col("canonical").alias("attribute"), "value", "json_type")
+    return tagged.join(names, ["feed_kind", "feed_id", "file_no", "field"]).select("feed_kind", *id_cols, F.col("canonical").alias("attribute"), "value", "json_type")

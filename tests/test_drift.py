@@ -58,6 +58,25 @@ def test_unified_names(spark):
     assert {(r["record_id"], r["attribute"], r["value"]) for r in out.collect()} == {(1, "full", "x"), (2, "full", "x"), (3, "full", "y")}
 
 
+def _unified(spark, bodies):
+    data = [(feed, n, 0, json.dumps(b), i) for i, (feed, n, b) in enumerate(bodies)]
+    cells = drift.json_cells(spark.createDataFrame(data, SCHEMA), "feed_id", "file_no", "row_no", "body", ("record_id",))
+    kind = F.regexp_replace("feed_id", "-[0-9]+$", "")
+    out = drift.unified(cells, drift.canonical_names(drift.field_lineage(cells), kind), kind, ["record_id"]).collect()
+    return {(bodies[r["record_id"]][0], r["attribute"], r["value"]) for r in out}
+
+
+def test_one_rename_in_a_long_feed_unites_its_names(spark):
+    assert _unified(spark, [("f-1", n, {"position" if n <= 60 else "pos": "QB"}) for n in range(1, 121)]) in ({("f-1", "position", "QB")}, {("f-1", "pos", "QB")})
+
+
+def test_a_rename_holds_in_its_feed_where_others_have_both_names(spark):
+    both = [(f"f-{k}", n, {"team": "a", "club": "b"}) for k in (2, 3) for n in (1, 2)]
+    got = _unified(spark, [("f-1", 1, {"team": "x"}), ("f-1", 2, {"club": "x"}), *both])
+    assert len([x for x in got if x[0] == "f-1"]) == 1
+    assert {x for x in got if x[0] != "f-1"} == {(f"f-{k}", a, v) for k in (2, 3) for a, v in (("team", "a"), ("club", "b"))}
+
+
 @given(st.dictionaries(st.tuples(st.sampled_from("abcd"), st.sampled_from("wxyz")), st.floats(0.01, 1), max_size=10))
 def test_matching_is_the_best_there_is(weights):
     got = drift.best_matching(weights)
