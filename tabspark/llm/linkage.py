@@ -4,7 +4,8 @@
    and place with a day. Pairs that share keys are the candidate graph, each edge weighted by the rarity of its keys.
 2. Meta-blocking: an edge stays if its weight reaches a share of the best edge of either of its ends.
 3. Each edge gets a score from names, day and tournament. Then neighbours speak: how the currently best edges pair the
-   same spellings of players and tournaments raises the similarity of those spellings on all edges, until no best edge changes.
+   same spellings of players and tournaments raises the similarity of those spellings on all edges, until no best edge changes
+   (of edges that go in a cycle, the round of the highest total score counts).
 4. A listing goes to its best match if the score reaches the threshold; the score is the confidence.
 
 Defined results: records with neither player name link to nothing; a null tournament or day is neutral; days that may be
@@ -14,7 +15,9 @@ to the smaller match id; empty tables give no links.
 
 from __future__ import annotations
 
+import logging
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +25,8 @@ from pyspark.sql import Window as W
 
 from tabspark.session import materialise
 
+_log = logging.getLogger(__name__)
+
 
 def _accent_table() -> tuple[str, str]:
     """Letters of the Latin blocks that decompose into a base letter and marks, and their base letters."""
@@ -150,7 +155,7 @@ def _tournament_score(words: Column, weights: Column, others: Column) -> Column:
     return F.when((F.size(words) > 0) & (F.size(others) > 0), total(best) / total(weights))
 
 
-def link(left: DataFrame, right: DataFrame, threshold: float = 0.72, keep_share: float = 0.4, reach: int = 1, max_rounds: int = 6) -> DataFrame:
+def link(left: DataFrame, right: DataFrame, threshold: float = 0.72, keep_share: float = 0.4, reach: int = 1) -> DataFrame:
     """(left_id, right_id, confidence): left and right are results of records()."""
     left, right = materialise(left, "link-left"), materialise(right, "link-right")
     edges = _pairs_by_rare_keys(_keys(left, reach, True), _keys(right, 0, False), keep_share)
@@ -185,16 +190,30 @@ def link(left: DataFrame, right: DataFrame, threshold: float = 0.72, keep_share:
     ).filter("least(s1, s2) >= 0.3")
     scored = materialise(scored, "link-edges")
     best = _best(scored.select("left_id", "right_id", _score(F.col("s1"), F.col("s2"), F.col("gap"), F.col("tour")).alias("score")), threshold)
-    for _ in range(max_rounds):
-        best = materialise(best, "link-best")
-        again = _best(_propagate(scored, best), threshold)
-        moved = best.join(again, ["left_id", "right_id"], "full_outer").filter(best["score"].isNull() | again["score"].isNull()).limit(1).count()
-        best = again
-        if not moved:
-            break
+    best, _ = _settled(best, lambda current: _best(_propagate(scored, current), threshold))
     return best.select("left_id", "right_id", F.round("score", 4).alias("confidence"))
 
 
+def _settled(best: DataFrame, step: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, int]:
+    """step applied until no edge changes, and the number of rounds. If the edges go in a cycle, its round of the highest total score.
+
+    A round depends only on the edges before it, so edges that were there before close a cycle, and the loop ends.
+    """
+    rounds: list[tuple[DataFrame, tuple, float]] = []
+    while True:
+        now = materialise(best, "link-best")
+        mark = F.xxhash64("left_id", "right_id")
+        n, xor, total, score = now.agg(F.count("*"), F.bit_xor(mark), F.sum(mark.cast("decimal(20,0)")), F.round(F.sum("score"), 6)).first()
+        edges = (n, xor, total)
+        before = next((i for i, r in enumerate(rounds) if r[1] == edges), None)
+        rounds.append((now, edges, score or 0.0))
+        if before is not None:
+            cycle = rounds[before + 1 :]
+            _log.info("links settled after %d rounds, cycle of %d", len(rounds) - 1, len(cycle))
+            return max(cycle, key=lambda r: (r[2], str(r[1])))[0], len(rounds) - 1
+        best = step(now)
+
+
 def _score(s1: Column, s2: Column, gap: Column, tour: Column) -> Column:
     day = F.when(gap.isNull(), 0.5).when(gap == 0, 1.0).otherwise(0.85)
     place = F.coalesce(tour, F.lit(0.5))

@@ -51,3 +51,14 @@ def test_name_parts(spark):
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i long, n string").select("i", linkage.name_parts(F.col("n")).alias("p"))
     got = [None if r["p"] is None else (r["p"]["first"], r["p"]["last"]) for r in df.orderBy("i").collect()]
     assert got == [("v", "pliskolde"), ("v", "farvavar"), ("n", "gairrard"), ("edda", "wobringham"), ("", "peidrowe"), ("nadja", "trirnisto"), ("jolanda", "digaldogibrersen"), ("", "poulvowe"), None, None]
+
+
+def test_rounds_go_on_until_nothing_moves_and_end_in_a_cycle(spark):
+    start = spark.createDataFrame([(0, 1, 0.8)], "left_id long, right_id long, score double")
+    late = lambda df: df.withColumn("left_id", F.least(F.col("left_id") + 1, F.lit(9)))
+    got, rounds = linkage._settled(start, late)
+    assert got.first()["left_id"] == 9 and rounds == 10
+    swing = lambda df: df.withColumn("left_id", 1 - F.col("left_id")).withColumn("score", F.when(F.col("left_id") == 1, 0.9).otherwise(0.8))
+    got, rounds = linkage._settled(start, swing)
+    assert got.first()["left_id"] == 1 and rounds == 2
+    assert linkage._settled(start.limit(0), late)[0].count() == 0
