@@ -4,7 +4,7 @@ Each delimited line becomes cells (row, column, value). Two further cells say ho
 ``#quoting`` ('sound' or 'broken') and ``#width`` (number of fields). A rule names a column, a pattern that its
 trimmed value must match as a whole, and a reason; the rule with the lowest priority that fails gives the reason.
 
-Defined results: a null line has broken no quote and has no fields, so it fails ``#width``; an empty line has one
+Defined results: rows with a null key are judged together like any other key; a null line has broken no quote and has no fields, so it fails ``#width``; an empty line has one
 empty field; a null cell fails its rule; rows with the same key are judged together (lowest priority wins); columns
 named like the operator's own are never read; an empty table gives an empty table.
 """
@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabspark.session import materialise
+
 #: A line is sound if each field is either free of quotes or quoted as a whole, inner quotes doubled.
 SOUND_LINE = r'\A(?:"(?:[^"]++|"")*+"|[^",]*+)(?:,(?:"(?:[^"]++|"")*+"|[^",]*+))*+\z'
 FIELD = r',("(?:[^"]++|"")*+"|[^",]*+)'
@@ -71,16 +73,25 @@ def rule_table(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.sparkSession.createDataFrame([(r.column, rf"\A(?:{r.pattern})\z", r.reason, i) for i, r in enumerate(rules)], RULE_SCHEMA)
 
 
-def failed_lines(df: DataFrame, key: str, line: str, header: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
-    """(key, reason, n_errors): one row per key that fails at least one rule."""
+def _judged(parsed: DataFrame, key: str, header: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
     rules = [*structural_rules(len(header)), *rules]
-    cells = explode_cells(parse_lines(df, key, line, header), key, header, [r.column for r in rules])
-    judged = cells.join(F.broadcast(rule_table(df, rules)), F.col("cell_column") == F.col("rule_column"))  # the rules are a literal list
+    cells = explode_cells(parsed, key, header, [r.column for r in rules])
+    judged = cells.join(F.broadcast(rule_table(parsed, rules)), F.col("cell_column") == F.col("rule_column"))  # the rules are a literal list
     bad = judged.filter(~F.coalesce(F.expr(r"regexp_replace(cell_value, '^\\s+|\\s+$', '') rlike rule_pattern"), F.lit(False)))
     return bad.groupBy(key).agg(F.min(F.struct("rule_priority", "rule_reason")).alias("first"), F.count("*").alias("n_errors")).select(key, F.col("first.rule_reason").alias("reason"), "n_errors")
 
 
+def failed_lines(df: DataFrame, key: str, line: str, header: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
+    """(key, reason, n_errors): one row per key that fails at least one rule."""
+    return _judged(parse_lines(df, key, line, header), key, header, rules)
+
+
 def sound_lines(df: DataFrame, key: str, line: str, header: Sequence[str], rules: Sequence[Rule], keep: Sequence[str] = ()) -> DataFrame:
-    """(key, keep..., one text column per header name): the rows that fail no rule."""
-    clean = parse_lines(df, key, line, header, keep).join(failed_lines(df, key, line, header, rules).select(key), key, "left_anti")
+    """(key, keep..., one text column per header name): the rows that fail no rule.
+
+    The lines are read and parsed once, into the shared folder; their errors are then anti-joined, null keys with null keys.
+    """
+    parsed = materialise(parse_lines(df, key, line, header, keep), "parsed-lines")
+    failed = _judged(parsed, key, header, rules).select(F.col(key).alias("__failed"))
+    clean = parsed.join(failed, F.col(key).eqNullSafe(F.col("__failed")), "left_anti")
     return clean.select(key, *keep, *[F.get("line_fields", F.lit(i)).alias(name) for i, name in enumerate(header)])

@@ -260,14 +260,15 @@ def minute_activity_stream(spark: SparkSession, d: str) -> DataFrame:
     return done.select("user_id", F.unix_seconds("minute_start").alias("minute_s"), "n_rows", "n_click", "n_purchase", F.col("size_sum").cast("double").alias("size_sum"))
 
 
-@CATALOGUE.add("SELECT source_row_id, source_coach_name AS coach, nullif(game_date, '') AS game_date, game_date = '' AS was_empty FROM nfl_schedule")
+@CATALOGUE.add("""SELECT source_row_id, source_coach_name AS coach, nullif(game_date, '') AS game_date, game_date = '' AS was_empty, source_stadium || chr(10) || ' "' || coalesce(source_timezone, '') || '", ' AS remark FROM nfl_schedule""")
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """SNK-01, 02, SRC-05: written as CSV and read again, null and empty text stay apart."""
+    """SNK-01, 02, SRC-05: written as CSV and read again; null and empty text stay apart, line breaks, quotes and commas stay inside their cells."""
     path = scratch_path(spark, "csv")
-    rows = table(spark, d, "nfl_schedule").select(F.col("source_row_id").cast("string").alias("source_row_id"), F.col("source_coach_name").alias("coach"), "game_date")
+    remark = F.concat("source_stadium", F.lit('\n "'), F.coalesce("source_timezone", F.lit("")), F.lit('", '))
+    rows = table(spark, d, "nfl_schedule").select(F.col("source_row_id").cast("string").alias("source_row_id"), F.col("source_coach_name").alias("coach"), "game_date", remark.alias("remark"))
     writers.write_csv(rows, path)
     back = readers.csv_text(spark, path, rows.columns)
-    return back.select(F.col("source_row_id").cast("long").alias("source_row_id"), "coach", F.nullif("game_date", F.lit("")).alias("game_date"), (F.col("game_date") == "").alias("was_empty"))
+    return back.select(F.col("source_row_id").cast("long").alias("source_row_id"), "coach", F.nullif("game_date", F.lit("")).alias("game_date"), (F.col("game_date") == "").alias("was_empty"), "remark")
 
 
 @CATALOGUE.add("""SELECT record_id, k.property, k.value FROM (SELECT record_id, unnest([{'property': 'week', 'value': json_extract_string(body, '$.week')}, {'property': 'round', 'value': json_extract_string(body, '$.round')}]) AS k FROM source_records) WHERE k.value IS NOT NULL""")

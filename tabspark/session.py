@@ -25,8 +25,13 @@ def build_session(app: str = "tabspark", master: str | None = None, shuffle_part
     return builder.getOrCreate()
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Only where it is unset (tests, local mode) a local folder is set."""
+    """The folder of spark.checkpoint.dir. Where it is unset, a local master gets a local folder and a cluster an error: its executors would each write to their own disk."""
     current = spark.sparkContext.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -34,14 +39,38 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     if not current:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabspark-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the JVM."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own folder below the shared one. It is removed when the driver's JVM ends, or by drop_scratch."""
+    root = f"{shared_dir(spark)}/tabspark-{spark.sparkContext.applicationId}"
+    fs, at = hadoop_path(spark, root)
+    if not fs.exists(at):
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+    return root
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written to the shared folder; results not yet read from it are lost."""
+    fs, at = hadoop_path(spark, scratch_root(spark))
+    fs.delete(at, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path below the application's folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

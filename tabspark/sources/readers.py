@@ -27,16 +27,19 @@ def text_schema(names: Sequence[str]) -> T.StructType:
 
 
 def csv_text(spark: SparkSession, path: str, names: Sequence[str], empty_is_null: bool = False) -> DataFrame:
-    r"""CSV with header, all columns text, ``\N`` null. Empty text stays empty unless empty_is_null."""
-    reader = spark.read.schema(text_schema(names)).option("header", True).option("nullValue", NULL_TOKEN).option("escape", '"').option("multiLine", False)
+    r"""CSV with header, all columns text, ``\N`` null. Empty text stays empty unless empty_is_null.
+
+    Quoted cells may hold line breaks, so a file is one task: write large tables in many files.
+    """
+    reader = spark.read.schema(text_schema(names)).option("header", True).option("nullValue", NULL_TOKEN).option("quote", '"').option("escape", '"').option("multiLine", True).option("lineSep", "\n")
     df = reader.option("emptyValue", "").csv(path)
     return df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names]) if empty_is_null else df
 
 
 def csv_strict(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
-    """CSV whose lines must have exactly the given fields; others are in the column _bad_line."""
+    """CSV whose records must have exactly the given fields; others are in the column _bad_line. Quoted cells may hold line breaks."""
     schema = text_schema([*names, BAD_LINE])
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE).option("escape", '"').csv(path)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:

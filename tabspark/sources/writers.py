@@ -39,7 +39,7 @@ def check_no_null_token(df: DataFrame) -> None:
 def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
     encoded = encode_cells(df)
     check_no_null_token(encoded)
-    encoded.write.mode("errorifexists").option("header", True).option("nullValue", NULL_TOKEN).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", compression).csv(path)
+    encoded.write.mode("errorifexists").option("header", True).option("nullValue", NULL_TOKEN).option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", compression).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

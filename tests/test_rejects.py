@@ -70,3 +70,8 @@ def test_rules_need_known_reasons():
     assert [r.reason for r in rejects.structural_rules(3)] == ["quoting", "column_count"]
     with pytest.raises(TypeError):
         rejects.Rule("id")
+
+
+def test_a_bad_line_with_a_null_key_is_not_sound(spark):
+    lines = spark.createDataFrame([(None, "x,1"), (1, "a,2"), (2, "x"), (None, "y")], "k long, line string")
+    assert [tuple(r) for r in rejects.sound_lines(lines, "k", "line", ["a", "b"], []).collect()] == [(1, "a", "2")]
