@@ -13,19 +13,13 @@ from tabspark.session import materialise, table
 TOLERANCE_US = 2_000_000
 
 
-def _records(id_col: str):
-    def rows(df: DataFrame) -> DataFrame:
-        source, received = F.col("source_time_utc"), F.col("received_time_utc")
-        t = nearest_time.time_of(source, received)
-        clock = F.coalesce(received.try_cast("timestamp"), source.try_cast("timestamp"))
-        return df.select(F.col("token_id").alias("entity"), F.col(id_col).alias("id"), t.alias("t_us"), clock.alias("clock"))
-
-    return rows
+def _records(df: DataFrame, id_col: str) -> DataFrame:
+    return df.select(F.col("token_id").alias("entity"), F.col(id_col).alias("id"), nearest_time.time_of(F.col("source_time_utc"), F.col("received_time_utc")).alias("t_us"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = nearest_time.replay_nearest_join(spark, f"{sf_dir}/book_snapshots.parquet", f"{sf_dir}/quote_updates.parquet", _records("snapshot_id"), _records("update_id"), TOLERANCE_US)
-    return joined.select(F.col("left_id").alias("snapshot_id"), F.col("right_id").alias("update_id"))
+    snapshots, updates = _records(table(spark, sf_dir, "book_snapshots"), "snapshot_id"), _records(table(spark, sf_dir, "quote_updates"), "update_id")
+    return nearest_time.replay_nearest_join(snapshots, updates, TOLERANCE_US).select(F.col("left_id").alias("snapshot_id"), F.col("right_id").alias("update_id"))
 
 
 def _days(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
