@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over at least as many partitions as there are cores; large inputs, which have more, stay as they are."""
+    """df over at least as many partitions as there are cores; large inputs, which have more, stay as they are. Layout only."""
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(wanted) if have < wanted else df

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import os
 from functools import lru_cache
 
 import pandas as pd
@@ -17,14 +18,17 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 @lru_cache(maxsize=2)
 def encoder(path: str):
     import tiktoken
+    from pyspark import SparkFiles
 
-    with open(path, "rb") as lines:
+    with open(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def with_token_counts(df: DataFrame, text: str = "text", out: str = "n_tokens", path: str = DEFAULT_RANKS) -> DataFrame:
-    """df with the number of tokens of the whole text; 0 for null and empty texts."""
+    """df with the number of tokens of the whole text; 0 for null and empty texts. The driver's vocabulary file goes to executors that lack it."""
+    if os.path.exists(path):
+        df.sparkSession.sparkContext.addFile(path)
 
     @F.pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:

@@ -25,6 +25,21 @@ def test_shares_repeats_and_report(spark):
     assert {r[0]: r[1] for r in uses} == {"big": 1, "small": report["small"]["most_uses"]} and 2 <= report["small"]["most_uses"] <= 3
 
 
+def test_long_texts_do_not_push_a_source_beyond_its_share(spark):
+    r = random.Random(3)
+    data = [(f"a{i}", "a", r.choice([5, 8, 900])) for i in range(200)] + [(f"b{i}", "b", r.randrange(1, 12)) for i in range(150)]
+    docs = spark.createDataFrame(data, "doc_id string, source string, n_tokens long")
+    mixed = mixing.mix(docs, spark.createDataFrame([("a", 0.4, 1), ("b", 0.6, 1)], TARGETS))
+    got = {x[0]: x[1] for x in mixed.groupBy("source").agg(F.sum("n_tokens")).collect()}
+    assert abs(got["a"] / (got["a"] + got["b"]) - 0.4) < 0.004
+    assert mixed.count() == mixed.select("doc_id", "use_no").distinct().count()
+
+
+def test_points_of_far_slots(spark):
+    rows = spark.createDataFrame([(0,), (1,), (3,), ((1 << 40) + 1,)], "i long").select("i", mixing.van_der_corput(F.col("i"))).collect()
+    assert [r[1] for r in rows] == [0.0, 0.5, 0.75, 0.5 + 2.0**-41]
+
+
 def test_any_stretch_of_the_schedule_is_mixed(spark):
     sources = [mixing.Source("a", 0.7, 1, 1), mixing.Source("b", 0.3, 1, 1)]
     rows = mixing.schedule(spark, sources, 200_000).orderBy("slot").collect()
