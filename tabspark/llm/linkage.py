@@ -2,6 +2,7 @@
 
 1. Attributes of both sides become blocking keys that combine what is rare: a surname with a day, both surnames, initials
    and place with a day. Pairs that share keys are the candidate graph, each edge weighted by the rarity of its keys.
+   The size of every block is known before its pairs are made; a key that is too common is joined by finer ones.
 2. Meta-blocking: an edge stays if its weight reaches a share of the best edge of either of its ends.
 3. Each edge gets a score from names, day and tournament. Then neighbours speak: how the currently best edges pair the
    same spellings of players and tournaments raises the similarity of those spellings on all edges, until no best edge changes
@@ -91,13 +92,42 @@ def person_score(a_first: Column, a_last: Column, b_first: Column, b_last: Colum
     return F.greatest(last + first, double, F.lit(0.0))
 
 
-def _pairs_by_rare_keys(left: DataFrame, right: DataFrame, keep_share: float) -> DataFrame:
-    """(left_id, right_id): the candidate graph after meta-blocking. left, right: (id, keys ARRAY<STRING>)."""
+def _blocks(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sides' rows per key, and the counts of each key that both have: known before any pair is made."""
     a = left.select(F.col("id").alias("left_id"), F.explode("keys").alias("key")).distinct()
     b = right.select(F.col("id").alias("right_id"), F.explode("keys").alias("key")).distinct()
-    spread = a.groupBy("key").agg(F.count("*").alias("na")).join(b.groupBy("key").agg(F.count("*").alias("nb")), "key")
-    rarity = spread.select("key", (1 / F.log2(2 + F.col("na") * F.col("nb"))).alias("rarity"))
-    edges = a.join(rarity, "key").join(b, "key").groupBy("left_id", "right_id").agg(F.sum("rarity").alias("weight"))
+    counts = a.groupBy("key").agg(F.count("*").alias("na")).join(b.groupBy("key").agg(F.count("*").alias("nb")), "key")
+    return a, b, materialise(counts, "link-blocks")
+
+
+def _finer(rows: DataFrame, id_col: str, common: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(id, keys): the rows of common keys, by the key and each token of their record that it doesn't hold."""
+    held = rows.join(common, "key").select(F.col(id_col).alias("id"), "key").join(tokens, "id")
+    return materialise(held.select("id", F.transform(F.filter("tokens", lambda t: F.instr(F.col("key"), t) == 0), lambda t: F.concat_ws("|", "key", t)).alias("keys")), "link-finer")
+
+
+def _pairs_by_rare_keys(left: DataFrame, right: DataFrame, keep_share: float, block_pairs: int = 1000, levels: int = 3) -> DataFrame:
+    """(left_id, right_id, weight): the candidate graph after meta-blocking. left, right: (id, keys ARRAY<STRING>, tokens ARRAY<STRING>).
+
+    A key whose block would make more than ``block_pairs`` pairs is not rare. It is refined: its records meet by the key and
+    one more thing they share (a token that the key doesn't hold), and by one more again where that is still too common. Of
+    a block so refined only pairs are left out that share nothing but the key. After the last level a block stays as it is.
+    """
+    edges, level = None, 0
+    tokens = [df.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("tokens"))).alias("tokens")) for df in (left, right)]
+    while True:
+        a, b, counts = _blocks(left, right)
+        pairs = F.col("na") * F.col("nb")
+        more = level < levels and bool(counts.filter(pairs > block_pairs).head(1))
+        rarity = (counts.filter(pairs <= block_pairs) if more else counts).select("key", (1 / F.log2(2 + pairs)).alias("rarity"))
+        found = a.join(rarity, "key").join(b, "key").select("left_id", "right_id", "rarity")
+        edges = found if edges is None else edges.unionByName(found)
+        if not more:
+            break
+        common = counts.filter(pairs > block_pairs).select("key")
+        left, right, level = _finer(a, "left_id", common, tokens[0]), _finer(b, "right_id", common, tokens[1]), level + 1
+        _log.info("blocks of over %d pairs refined, level %d", block_pairs, level)
+    edges = edges.groupBy("left_id", "right_id").agg(F.sum("rarity").alias("weight"))
     top = lambda c: F.max("weight").over(W.partitionBy(c))
     return edges.withColumn("l", top("left_id")).withColumn("r", top("right_id")).filter((F.col("weight") >= keep_share * F.col("l")) | (F.col("weight") >= keep_share * F.col("r"))).select("left_id", "right_id", "weight")
 
@@ -135,7 +165,11 @@ def _keys(df: DataFrame, reach: int, is_left: bool) -> DataFrame:
     loose, undated_row = F.concat(undated, by_initials, crossed), F.size("days") == 0
     tagged = lambda tag, wanted: F.when(wanted, F.transform(loose, lambda x: F.concat(F.lit(tag), x))).otherwise(F.array().cast("array<string>"))
     both_sides = F.concat(tagged("A", undated_row if is_left else F.lit(True)), tagged("B", F.lit(True) if is_left else undated_row))
-    return df.select("id", F.array_distinct(F.concat(by_day, by_place, both, both_sides)).alias("keys"))
+    # what else two records may share, for keys that are too common: both ends of each surname, places, initials, months
+    ends = F.flatten(F.transform(tails, lambda x: F.array(F.concat(F.lit("^"), F.substring(x, 1, 3)), F.concat(F.substring(x, -3, 3), F.lit("$")))))
+    months = F.transform(near, lambda d: F.date_format(F.date_from_unix_date(d), "yyyy-MM"))
+    tokens = F.concat(ends, places, F.transform(initials, lambda x: F.concat(F.lit("."), x)), months)
+    return df.select("id", F.array_distinct(F.concat(by_day, by_place, both, both_sides)).alias("keys"), F.array_sort(F.array_distinct(tokens)).alias("tokens"))
 
 
 def _word_weights(left: DataFrame) -> DataFrame:
@@ -155,10 +189,10 @@ def _tournament_score(words: Column, weights: Column, others: Column) -> Column:
     return F.when((F.size(words) > 0) & (F.size(others) > 0), total(best) / total(weights))
 
 
-def link(left: DataFrame, right: DataFrame, threshold: float = 0.72, keep_share: float = 0.4, reach: int = 1) -> DataFrame:
+def link(left: DataFrame, right: DataFrame, threshold: float = 0.72, keep_share: float = 0.4, reach: int = 1, block_pairs: int = 1000) -> DataFrame:
     """(left_id, right_id, confidence): left and right are results of records()."""
     left, right = materialise(left, "link-left"), materialise(right, "link-right")
-    edges = _pairs_by_rare_keys(_keys(left, reach, True), _keys(right, 0, False), keep_share)
+    edges = _pairs_by_rare_keys(_keys(left, reach, True), _keys(right, 0, False), keep_share, block_pairs)
     side = lambda df, tag: df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns])
     weights = _word_weights(left).select(F.col("words").alias("l_words"), F.col("weights").alias("l_weights"))
     both = edges.join(side(left, "l"), F.col("left_id") == F.col("l_id")).join(side(right, "r"), F.col("right_id") == F.col("r_id")).join(weights, "l_words", "left")

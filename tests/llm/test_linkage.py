@@ -41,6 +41,31 @@ def test_spellings_orders_and_neighbouring_matches(spark):
     assert _link(spark, LEFT + LEFT[:1], right + right[:1]) == {("m1", "l1"), ("m2", "l2"), ("m3", "l3"), ("m4", "l4"), ("m5", "l5")}
 
 
+def _sides(spark, n):
+    """Matches of one surname at one place, so that keys without a day are common; the listings have no day."""
+    places, names = ["Dunmorrow Open", "Larchhaven Cup"], [f"{a}{b}{c}sky" for a in "BKMTV" for b in "aeiou" for c in ("rn", "ld", "ss")]
+    left = [(f"m{i}", "Selwyn Laistoy", f"Nils {names[i]}", places[i % 2], D(2020, 1, 1) + dt.timedelta(i)) for i in range(n)]
+    right = [(f"l{i}", f"N. {names[i]}", "S. Laistoy", places[i % 2], None) for i in range(n)]
+    return left, right
+
+
+def test_common_keys_are_refined_without_losing_links(spark, caplog):
+    left, right = _sides(spark, 60)
+    frames = []
+    for data in (left, right):
+        df = spark.createDataFrame([(*r, 1.0) for r in data], SCHEMA)
+        days = F.when(F.col("day").isNotNull(), F.array(F.unix_date("day"))).otherwise(F.array().cast("array<int>"))
+        frames.append(linkage.records(df, "id", "one", "two", "tour", days))
+    keys = [linkage._keys(frames[0], 1, True), linkage._keys(frames[1], 0, False)]
+    whole = linkage._pairs_by_rare_keys(*keys, 0.4, block_pairs=10**9)
+    with caplog.at_level("INFO"):
+        fine = linkage._pairs_by_rare_keys(*keys, 0.4, block_pairs=50)
+    assert "level 1" in caplog.text
+    true = {(f"m{i}", f"l{i}") for i in range(60)}
+    assert true <= {(r[0], r[1]) for r in fine.collect()} and fine.count() <= whole.count()
+    assert {(r[0], r[1]) for r in linkage.link(*frames, block_pairs=50).collect()} == true
+
+
 def test_empty_sides(spark):
     assert _link(spark, [], [("l1", "A B", "C D", None, None)]) == set()
     assert _link(spark, LEFT, []) == set()
