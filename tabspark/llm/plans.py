@@ -83,14 +83,12 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.surfaces(docs, pii.findings(docs))
+    return pii.surfaces(pii.findings(table(spark, sf_dir, "documents")))
 
 
 def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents with typed placeholders."""
-    docs = table(spark, sf_dir, "documents")
-    return pii.sanitise(docs, pii.findings(docs.select("doc_id", "text"))).select("doc_id", "text", "lang", "source")
+    return pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_links, p7_packed, p7_fill, p8_mix, p8_shares, p9_found, p9_sanitised)}

@@ -19,7 +19,7 @@ def test_forms():
         for v in values:
             text = f"Note: {v}, ok. {NOT_PERSONAL}"
             spans, masked = pii.mask_forms(text)
-            assert [(k, text[a:b]) for k, a, b in spans] == [(kind, v)], v
+            assert [(k, text[a:b]) for k, _, a, b in spans] == [(kind, v)], v
             assert len(masked) == len(text)
 
 
@@ -50,7 +50,7 @@ def test_names_by_disclosure_and_placeholders(spark):
     docs = spark.createDataFrame([(i, t, "s", "k") for i, t in enumerate(texts)], "doc_id long, text string, surface string, kind string")
     found = pii.findings(docs)
     got: dict[int, set] = {}
-    for r in pii.surfaces(docs, found).collect():
+    for r in pii.surfaces(found).collect():
         got.setdefault(r["doc_id"], set()).add((r["pii_type"], r["surface"]))
     names = {s for x in got.values() for k, s in x if k == "name"}
     words = {w.strip(".,").lower() for s in names for w in s.split()}
@@ -61,18 +61,49 @@ def test_names_by_disclosure_and_placeholders(spark):
     assert got[n - 2] == {("name", "Anna Lumako")} and n - 3 not in got and n - 4 not in got
     assert got[n - 1] == {("name", "Bela Q. Morberi"), ("email", "bela@x.test")}
     assert any(s.isupper() is False and "," in s and s.split(",")[0].isupper() for s in names)
-    clean = {r["doc_id"]: r for r in pii.sanitise(docs, found).collect()}
+    clean = {r["doc_id"]: r for r in pii.sanitise(docs).collect()}
     assert clean[n - 1]["text"] == "Ask [NAME]’s coach, [EMAIL]." and clean[n - 2]["text"] == "[NAME] met [NAME] at Hollow Park."
     assert clean[n - 3]["text"] is None and clean[n - 4]["text"] == "" and clean[n - 1]["surface"] == "s"
     assert len(clean) == n
 
 
+def test_documents_without_an_id_and_with_the_same_one(spark):
+    data = [(None, "Write to a.b@example.test now"), (7, "Wring c.d@example.test"), (7, "Call +1-305-555-0146, or mail e@example.test"), (None, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert {(r["doc_id"], r["text"]) for r in pii.sanitise(docs).collect()} == {(None, "Write to [EMAIL] now"), (7, "Wring [EMAIL]"), (7, "Call [PHONE], or mail [EMAIL]"), (None, None)}
+    got = {tuple(r) for r in pii.surfaces(pii.findings(docs)).collect()}
+    assert got == {(None, "email", "a.b@example.test"), (7, "email", "c.d@example.test"), (7, "phone", "+1-305-555-0146"), (7, "email", "e@example.test")}
+
+
+def test_bare_numbers_are_decided_by_what_stands_before_sure_ones(spark):
+    texts = ["passport 123-45-6789 was shown"] * 12 + ["passport 123456789 was shown"] * 3 + ["seat 987654321 was empty"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["surface"] for r in pii.surfaces(pii.findings(docs)).collect()} == {"123-45-6789", "123456789"}
+    few = spark.createDataFrame(list(enumerate(["passport 123-45-6789"] + ["passport 123456789"] * 10)), "doc_id long, text string")
+    assert {r["text"] for r in pii.sanitise(few).collect()} == {"passport [ID_NUMBER]", "passport 123456789"}
+    assert {r["text"] for r in pii.sanitise(few, wide_doubt=9.0).collect()} == {"passport [ID_NUMBER]", "passport [NUMBER]"}
+
+
+def test_masking_is_linear_in_the_text():
+    import time
+
+    def took(n):
+        body = "mail a.b@example.test or +441632960120 in 1695 Tannery Street. " * n
+        start = time.perf_counter()
+        spans, _ = pii.mask_forms(body)
+        assert len(spans) == 3 * n
+        return time.perf_counter() - start
+
+    took(50)
+    assert took(8000) < 8 * 4 * max(took(1000), 0.01)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert pii.surfaces(docs, pii.findings(docs)).count() == 0
+    assert pii.surfaces(pii.findings(docs)).count() == 0 and pii.sanitise(docs).count() == 0
 
 
 def test_very_long_text(spark):
     body = "Rain swept over Hollow Park before play. " * 40_000 + "Mail me: a@b.test"
     spans, masked = pii.mask_forms(body)
-    assert [body[a:b] for _, a, b in spans] == ["a@b.test"] and len(masked) == len(body)
+    assert [body[a:b] for *_, a, b in spans] == ["a@b.test"] and len(masked) == len(body)
