@@ -94,8 +94,8 @@ def person_score(a_first: Column, a_last: Column, b_first: Column, b_last: Colum
 
 def _blocks(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Both sides' rows per key, and the counts of each key that both have: known before any pair is made."""
-    a = left.select(F.col("id").alias("left_id"), F.explode("keys").alias("key")).distinct()
-    b = right.select(F.col("id").alias("right_id"), F.explode("keys").alias("key")).distinct()
+    a = materialise(left.select(F.col("id").alias("left_id"), F.explode("keys").alias("key")).distinct(), "link-keys")
+    b = materialise(right.select(F.col("id").alias("right_id"), F.explode("keys").alias("key")).distinct(), "link-keys")
     counts = a.groupBy("key").agg(F.count("*").alias("na")).join(b.groupBy("key").agg(F.count("*").alias("nb")), "key")
     return a, b, materialise(counts, "link-blocks")
 
