@@ -1,8 +1,8 @@
 """Column profiles from maintained value-count tables.
 
 ``value_deltas`` turns a load into signed counts (table_name, column_name, load_no, value, n); ``ValueCountStore`` keeps
-the sum of all deltas ever applied in a versioned folder, so a late row adds to its load and a withdrawn row (sign -1)
-takes away; every metric, the exact distinct count and the entropy included, comes from the maintained counts and never
+all deltas ever applied and what they add up to, so a late row adds to its load and a withdrawn row (sign -1) takes away;
+every metric, the exact distinct count and the entropy included, comes from the maintained counts and never
 from the rows again.
 
 Defined results: nulls are counted under a null value; NaN counts as a value of its own text ('NaN'), never as null;
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabspark.session import scratch_path
+from tabspark.session import hadoop_path, scratch_path
 
 COUNT_SCHEMA = T.StructType(
     [
@@ -40,42 +40,71 @@ def value_deltas(df: DataFrame, table_name: str, columns: Iterable[str], load_co
     return out.select(*COUNT_SCHEMA.names)
 
 
-def apply_deltas(state: DataFrame | None, deltas: DataFrame) -> DataFrame:
-    """The new value-count table. Counts that reach zero leave it."""
-    if state is None:
-        both = deltas
-    else:
-        both = state.select(*COUNT_SCHEMA.names).unionByName(deltas.select(*COUNT_SCHEMA.names))
-    return both.groupBy(*KEY).agg(F.sum("n").alias("n")).filter("n <> 0").select(*COUNT_SCHEMA.names)
+def summed(deltas: DataFrame) -> DataFrame:
+    """The counts that deltas add up to. Those that cancel out are gone."""
+    return deltas.groupBy(*KEY).agg(F.sum("n").alias("n")).filter("n <> 0").select(*COUNT_SCHEMA.names)
 
 
 class ValueCountStore:
-    """Value-count tables in a folder; each applied batch of deltas is a new version, the newest complete one counts."""
+    """Value-count tables in a folder, kept as signed deltas.
 
-    def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path, self.version = spark, path or scratch_path(spark, "value-counts"), 0
-        while self._complete(self.version + 1):
-            self.version += 1
-
-    def _at(self, version: int) -> str:
-        return f"{self.path}/version={version:06d}"
+    Applying a batch of deltas writes that batch and nothing else: a new version folder, by table and column, so a load costs
+    what it holds and not what is there. Reading adds the newest base and the versions after it; ``compact`` writes a new
+    base and removes what it replaces. A version counts once it is complete, so a writer that dies leaves no trace.
+    """
 
-    def _complete(self, version: int) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        marker = jvm.org.apache.hadoop.fs.Path(f"{self._at(version)}/_SUCCESS")
-        return marker.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path = spark, path or scratch_path(spark, "value-counts")
+        self.base = max(self._complete("base"), default=0)
+        self.version = max(self._complete("version"), default=self.base)
+
+    def _complete(self, kind: str) -> list[int]:
+        """The numbers of the complete folders of a kind; of versions up to the first that is missing after the base."""
+        fs, root = hadoop_path(self.spark, self.path)
+        if not fs.exists(root):
+            return []
+        have = {int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(root) if f.getPath().getName().startswith(f"{kind}=") and fs.exists(hadoop_path(self.spark, f"{f.getPath()}/_SUCCESS")[1])}
+        if kind == "base":
+            return sorted(have)
+        out, nxt = [], self.base + 1
+        while nxt in have:
+            out.append(nxt)
+            nxt += 1
+        return out
+
+    def _at(self, kind: str, number: int) -> str:
+        return f"{self.path}/{kind}={number:06d}"
+
+    def _write(self, counts: DataFrame, at: str) -> None:
+        counts.select(*COUNT_SCHEMA.names).write.mode("overwrite").partitionBy("table_name", "column_name").parquet(at)  # overwrites only what never completed
+
+    def _deltas(self) -> DataFrame:
+        out = self.spark.createDataFrame([], COUNT_SCHEMA)
+        places = ([self._at("base", self.base)] if self.base else []) + [self._at("version", v) for v in range(self.base + 1, self.version + 1)]
+        for at in places:
+            out = out.unionByName(self.spark.read.schema(COUNT_SCHEMA).option("basePath", at).parquet(at))
+        return out
 
     def read(self) -> DataFrame:
-        if not self.version:
-            return self.spark.createDataFrame([], COUNT_SCHEMA)
-        return self.spark.read.schema(COUNT_SCHEMA).parquet(self._at(self.version))
+        return summed(self._deltas())
 
     def apply(self, deltas: DataFrame) -> DataFrame:
-        new = apply_deltas(self.read() if self.version else None, deltas)
-        new.write.mode("overwrite").parquet(self._at(self.version + 1))  # overwrites only a version that never completed
+        """Add a batch of deltas as a new version; the counts after it."""
+        self._write(deltas, self._at("version", self.version + 1))
         self.version += 1
         return self.read()
 
+    def compact(self) -> None:
+        """One base instead of the old base and all versions after it."""
+        if self.version == self.base:
+            return
+        old = ([self._at("base", self.base)] if self.base else []) + [self._at("version", v) for v in range(self.base + 1, self.version + 1)]
+        self._write(self.read(), self._at("base", self.version))
+        self.base = self.version
+        for at in old:
+            fs, where = hadoop_path(self.spark, at)
+            fs.delete(where, True)
+
 
 def _typed(counts: DataFrame, baseline: DataFrame) -> DataFrame:
     """Counts with the baseline of their column, whether the value has the agreed shape, and its number if so."""

@@ -53,6 +53,21 @@ def test_store_keeps_versions_and_withdraws(spark, rows, tmp_path):
     assert rows(out) == [("t", "x", 1, "2.0", 1)]
 
 
+def test_compacting_changes_nothing_and_is_found_again(spark, rows, tmp_path):
+    store = profile.ValueCountStore(spark, str(tmp_path / "store"))
+    for load in (1, 2, 3):
+        store.apply(profile.value_deltas(spark.createDataFrame([(load, 1.0), (load, 5.0)], "load_no long, x double"), "t", ["x"]))
+    before = rows(store.read())
+    store.compact()
+    assert sorted(p.name for p in (tmp_path / "store").iterdir()) == ["base=000003"]
+    again = profile.ValueCountStore(spark, str(tmp_path / "store"))
+    assert (again.base, again.version) == (3, 3) and rows(again.read()) == before and len(before) == 6
+    (tmp_path / "store" / "version=000004").mkdir()  # a writer that died
+    assert profile.ValueCountStore(spark, str(tmp_path / "store")).version == 3
+    again.apply(profile.value_deltas(spark.createDataFrame([(4, None)], "load_no long, x double"), "t", ["x"]))
+    assert profile.ValueCountStore(spark, str(tmp_path / "store")).version == 4
+
+
 def test_cumulative_entropy_is_that_of_all_rows_so_far(spark):
     data = [(1, "1"), (1, "1.0"), (1, "2"), (2, "2"), (2, "3"), (3, None), (3, "1")]
     base, _ = _tables(spark)
