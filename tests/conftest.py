@@ -12,9 +12,10 @@ def spark():
 
     session = (
         SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.wholeStage", "false")  # small frames: compiling costs more than it saves
         .config("spark.driver.memory", "4g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
