@@ -106,6 +106,7 @@ def kilograms(pounds: Column) -> Column:
     return pounds * 0.45359237
 
 
+# The defaults of the next two functions.
 def style_class(share: Column, games: Column, plays: Column, high: float = 0.62, low: float = 0.45, least_games: int = 3, least_plays: int = 100) -> Column:
     enough = (games >= least_games) & (plays >= least_plays)
     return F.when(~F.coalesce(enough, F.lit(False)) | share.isNull(), "insufficient").when(share >= high, "high").when(share <= low, "low").otherwise("balanced")
@@ -145,3 +146,8 @@ def sorted_set_json(values: Column) -> Column:
 
 def json_list(text: Column) -> Column:
     return F.from_json(text, "array<string>")
+
+
+def shared_names(a: Column, b: Column) -> Column:
+    """What two arrays have in common, sorted; empty where one is null."""
+    return F.array_sort(F.coalesce(F.array_intersect(a, b), F.array().cast("array<string>")))

@@ -84,6 +84,22 @@ def spoken_date(text: Column) -> Column:
     return F.try_to_timestamp(F.nullif(found, F.lit("")), F.lit("MMMM d, yyyy")).cast("date")
 
 
+# Zone labels of prose dates with their offsets in hours.
+PROSE_ZONES = {"EDT": -4, "EST": -5, "UTC": 0, "GMT": 0}
+
+
+def spoken_instant(text: Column) -> Column:
+    """STRUCT(day, instant, precision) of 'March 5, 2021, at 3:05 p.m. EDT' anywhere in a text; without clock and zone the day alone ('date')."""
+    clock = rf"\b(\d{{1,2}}):(\d{{2}})\s*([ap])\.?m\.?\s+({'|'.join(PROSE_ZONES)})\b"
+    part = lambda g: F.nullif(F.regexp_extract(text, f"(?i){clock}", g), F.lit(""))
+    day, hour, minute = spoken_date(text), part(1).try_cast("int"), part(2).try_cast("int")
+    offset = F.try_element_at(F.create_map(*[F.lit(x) for kv in PROSE_ZONES.items() for x in kv]), F.upper(part(4)))
+    sound = hour.between(1, 12) & minute.between(0, 59) & offset.isNotNull()
+    seconds = ((hour % 12 + F.when(F.lower(part(3)) == "p", 12).otherwise(0) - offset) * 60 + minute) * 60
+    at = F.when(F.coalesce(sound, F.lit(False)), F.timestamp_seconds(F.unix_date(day).cast("long") * 86400 + seconds))
+    return F.struct(day.alias("day"), at.alias("instant"), F.when(day.isNull(), "none").when(at.isNull(), "date").otherwise("minute").alias("precision"))
+
+
 def calendar_split(
     ts: Column,
     edges: Sequence[str],

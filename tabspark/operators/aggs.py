@@ -6,6 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from tabspark.operators.quality import null_safe_join
+from tabspark.session import scratch_path
 
 
 def sum_known(x: Column) -> Column:
@@ -39,9 +43,41 @@ def paired_ratio(y: Column, v: Column) -> Column:
 
 
 def long_metrics(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """(keys, metric, n, mean, std, median, total): one row per group and metric."""
+    """(keys, metric, n, mean, std, median, total): one row per group and metric. The medians come from value counts, not from a group's rows."""
     cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
-    return df.select(*keys, F.inline(cells)).groupBy(*keys, "metric").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.median("value").alias("median"), F.sum("value").alias("total"))
+    long, group = df.select(*keys, F.inline(cells)), [*keys, "metric"]
+    sums = long.groupBy(*group).agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.sum("value").alias("total"))
+    medians = exact_quantiles(long, group, "value", [0.5]).withColumn("median", F.get("quantiles", F.lit(0)))
+    return null_safe_join(sums, medians.drop("quantiles"), group).select(*group, "n", "mean", "std", "median", "total")
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+    """(keys..., quantiles ARRAY<DOUBLE>): exact, with linear interpolation, null values left out.
+
+    Values are counted, the counts sorted by ranges over all tasks, and each range told how many values lie before it (a row
+    per group and range), so no task holds a group, however many different values it has.
+    """
+    work = scratch_path(df.sparkSession, "value-ranges")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.select(*keys, F.col(value).cast("double").alias("__v")).filter("__v is not null").groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
+    # written once: a range's number has to stay what it is
+    ranges = counts.repartitionByRange(tasks, *[F.col(k).asc_nulls_first() for k in keys], "__v").withColumn("__range", F.spark_partition_id())
+    ranges.write.parquet(work)
+    ranges = df.sparkSession.read.schema(ranges.schema).parquet(work)
+    sizes = ranges.groupBy(*keys, "__range").agg(F.sum("__n").alias("__size"))
+    before = W.partitionBy(*keys).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)  # a row per range
+    starts = sizes.withColumns({"__start": F.coalesce(F.sum("__size").over(before), F.lit(0)), "__total": F.sum("__size").over(W.partitionBy(*keys))}).drop("__size")
+    placed = null_safe_join(ranges, starts, [*keys, "__range"])
+    inside = W.partitionBy(*keys, "__range").orderBy("__v").rowsBetween(W.unboundedPreceding, -1)
+    placed = placed.withColumn("__from", F.col("__start") + F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    picks = []
+    for p in probabilities:
+        at = F.lit(float(p)) * (F.col("__total") - 1)
+        holds = lambda rank: (F.col("__from") <= rank) & (rank < F.col("__from") + F.col("__n"))
+        low, high = F.max(F.when(holds(F.floor(at)), F.col("__v"))), F.max(F.when(holds(F.ceil(at)), F.col("__v")))
+        share = F.max(at - F.floor(at))
+        picks.append(F.when(share == 0, low).otherwise(low + (high - low) * share))
+    return placed.groupBy(*keys).agg(F.array(*picks).alias("quantiles"))
 
 
 def bijectivity(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -64,8 +100,3 @@ def only_value(c: Column) -> Column:
 def error_metrics(actual: Column, predicted: Column) -> list[Column]:
     e = predicted - actual
     return [F.count(e).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("bias")]
-
-
-def quantiles(x: Column, probabilities: Sequence[float]) -> Column:
-    """Exact quantiles with linear interpolation."""
-    return F.percentile(x, [float(p) for p in probabilities])

@@ -53,3 +53,10 @@ class Contract:
 
 def columns_with_prefix(df: DataFrame, *prefixes: str) -> list[str]:
     return [c for c in df.columns if c.startswith(prefixes)]
+
+
+def check_rows(df: DataFrame, expected: int) -> DataFrame:
+    """df, or an error if it hasn't the number of rows that its contract states."""
+    if (have := df.count()) != expected:
+        raise ValueError(f"{have} rows instead of {expected}")
+    return df

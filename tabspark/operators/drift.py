@@ -185,7 +185,8 @@ def field_lineage(cells: DataFrame, sketch_size: int = 4096, min_score: float =
     candidates = rename_candidates(materialise(column_sketches(cells, turnover, sketch_size), "drift-sketches"))
     weights = edge_weights(turnover, candidates).filter(F.col("weight") >= min_score)
     at_type = presence.schema["file_no"].dataType.simpleString()
-    renames = materialise(weights.groupBy("feed_id", "at_file").applyInPandas(_match_file, f"feed_id string, at_file {at_type}, old_name string, new_name string"), "drift-renames")
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows, but each file's matching takes its time
+    renames = materialise(weights.repartition(tasks, "feed_id", "at_file").groupBy("feed_id", "at_file").applyInPandas(_match_file, f"feed_id string, at_file {at_type}, old_name string, new_name string"), "drift-renames")
     rows = materialise(_segments(presence), "drift-segments")
     into = renames.select("feed_id", F.col("at_file").alias("file_no"), F.col("new_name").alias("field"), "old_name")
     out_of = renames.select("feed_id", F.col("at_file").alias("next_no"), F.col("old_name").alias("field"), "new_name")

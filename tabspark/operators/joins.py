@@ -47,7 +47,8 @@ def validated_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
                 check_unique(df, on, name)
     else:
         left = _asserted(left, on, "left") if sides[0] else left
-        right = _asserted(right, on, "right") if sides[1] else right
+        if sides[1]:  # null keys match nothing: they needn't meet in one task where the join drops them anyway
+            right = _asserted(right.dropna(subset=list(on)) if how in ("inner", "left", "left_outer", "leftouter") else right, on, "right")
     if not indicator:
         return left.join(right, list(on), how)
     out = left.withColumn("__l", F.lit(1)).join(right.withColumn("__r", F.lit(1)), list(on), how)

@@ -35,6 +35,12 @@ def group_quarantine(df: DataFrame, group: Sequence[str], bad: Column, name: str
     return null_safe_join(df, groups, group)
 
 
+def quarantine_summary(df: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """(group..., n_rows, n_duplicated, is_quarantined): a key that occurs several times puts its whole group into quarantine. Two aggregates, no join."""
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    return per_key.groupBy(*group).agg(F.sum("__n").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("n_duplicated"), F.bool_or(F.col("__n") > 1).alias("is_quarantined"))
+
+
 def quarantine_split(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     """(rows without a reason, rows with it in ``reason``): disjoint and complete."""
     marked = df.withColumn("reason", reason)

@@ -177,13 +177,6 @@ def densities(df: DataFrame, entity: str, at_us: str, hours: Sequence[int], chun
     return out.withColumns({f"censored_{h}h": at - h * 3_600_000_000 <= F.col("__first") for h in hours}).drop("__e", "__first")
 
 
-def islands(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str, name: str = "island") -> DataFrame:
-    """df with the number of its run of equal values; a null starts a run of its own."""
-    w = W.partitionBy(*partition).orderBy(*order)
-    new = ~F.coalesce(F.col(value) == F.lag(value).over(w), F.lit(False))
-    return df.withColumn("__new", new.cast("int")).withColumn(name, F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("__new")
-
-
 def run_length(df: DataFrame, entity: str, at_us: str, tie: str, value: str, chunk_us: int = 30 * DAY_US) -> DataFrame:
     """df with run_length (equal known values up to and with this row), prior_run (without it; null where the value is
     null), same_as_before (three-valued) and touches_start (whether the run begins at the entity's first row).
@@ -221,19 +214,6 @@ def same_as_before(value: str, window) -> Column:
     return F.col(value) == F.lag(value).over(window)
 
 
-def prefix_valid(bad: Column, window) -> Column:
-    """True until the first bad row of the order; unknown counts as sound."""
-    return F.sum(F.coalesce(bad, F.lit(False)).cast("int")).over(window.rowsBetween(W.unboundedPreceding, 0)) == 0
-
-
-def running_before(x: Column, window) -> Column:
-    return F.coalesce(F.sum(x).over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-
-
-def forward_fill(x: str, window) -> Column:
-    return F.last(x, ignorenulls=True).over(window.rowsBetween(W.unboundedPreceding, 0))
-
-
 def prior_distinct_day(df: DataFrame, entity: str, day: str, name: str = "prior_day") -> DataFrame:
     """df with the entity's last different day before this one."""
     days = df.select(entity, day).distinct()

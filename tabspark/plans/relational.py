@@ -136,9 +136,8 @@ def keep_first_text(spark: SparkSession, d: str) -> DataFrame:
 SELECT l_orderkey, count(*) AS n_lines, count(*) FILTER (WHERE n > 1) AS n_duplicated, bool_or(bad) AS is_quarantined FROM lineitem JOIN l USING (l_orderkey, l_linenumber) JOIN q USING (l_orderkey) GROUP BY ALL""")
 def whole_group_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """DUP-03, 05, 06: a repeated line number puts its whole order into quarantine."""
-    lines = quality.duplicate_flag(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
-    marked = quality.group_quarantine(lines, ["l_orderkey"], F.col("is_duplicate"))
-    return marked.groupBy("l_orderkey").agg(F.count("*").alias("n_lines"), F.count_if("is_duplicate").alias("n_duplicated"), F.bool_or("is_quarantined").alias("is_quarantined"))
+    out = quality.quarantine_summary(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_orderkey"])
+    return out.withColumnRenamed("n_rows", "n_lines")
 
 
 @CATALOGUE.add("""WITH r AS (SELECT o_orderkey, nullif(concat_ws('|', CASE WHEN o_totalprice < 10000 THEN 'small' END, CASE WHEN o_orderstatus = 'P' THEN 'pending' END, CASE WHEN o_orderpriority = '5-LOW' THEN 'low' END), '') AS reason FROM orders)
@@ -158,14 +157,6 @@ def first_failure_gates(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "nfl_plays").groupBy(F.coalesce(quality.first_failure(gates), F.lit("all")).alias("first_failure")).agg(F.count("*").alias("n"))
 
 
-@CATALOGUE.add("SELECT game_id, play_id, CAST(yards_gained AS BIGINT) AS yards_gained, string_agg(load_no, ',' ORDER BY load_no) AS loads FROM (SELECT DISTINCT game_id, play_id, yards_gained, load_no FROM nfl_plays) GROUP BY ALL HAVING count(*) > 1")
-def payload_collapse_provenance(spark: SparkSession, d: str) -> DataFrame:
-    """DUP-08: plays delivered in several loads, with the sorted loads."""
-    payload = ["game_id", "play_id", "yards_gained"]
-    out = quality.collapse_payload(table(spark, d, "nfl_plays"), payload, "load_no", "loads")
-    return out.filter(F.size("loads") > 1).select(*payload, F.array_join(F.transform("loads", lambda x: x.cast("string")), ",").alias("loads"))
-
-
 @CATALOGUE.add("""SELECT play_type, count(air_yards > 10) AS deep_known, count(*) FILTER (WHERE air_yards > 10) AS deep_yes, count(down = 3) AS third_known, count(*) FILTER (WHERE down = 3) AS third_yes,
 count(receiver_player_id = passer_player_id) AS self_known, count(*) FILTER (WHERE receiver_player_id = passer_player_id) AS self_yes FROM nfl_plays GROUP BY ALL""")
 def known_yes_counters(spark: SparkSession, d: str) -> DataFrame:
@@ -198,16 +189,9 @@ def long_metrics(spark: SparkSession, d: str) -> DataFrame:
     return out.select("l_returnflag", "metric", "n", *[F.round(c, 6).alias(c) for c in ("mean", "std", "median")], F.round("total", 2).alias("total"))
 
 
-@CATALOGUE.add("""WITH p AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_quantity = 50), a AS (SELECT l_partkey, count(*) AS a_degree FROM p GROUP BY ALL), b AS (SELECT l_suppkey, count(*) AS b_degree FROM p GROUP BY ALL)
-SELECT l_partkey, l_suppkey, a_degree, b_degree, a_degree = 1 AND b_degree = 1 AS is_bijective FROM p JOIN a USING (l_partkey) JOIN b USING (l_suppkey)""")
-def bijectivity(spark: SparkSession, d: str) -> DataFrame:
-    """AGG-14, JX-03, over the rows of its SQL twin (one quantity of 50): degrees there are not those of the table. All rows: bijectivity_all."""
-    return aggs.bijectivity(table(spark, d, "lineitem").filter("l_quantity = 50"), "l_partkey", "l_suppkey")
-
-
 @CATALOGUE.add("""WITH p AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL), a AS (SELECT l_partkey, count(*) AS a_degree FROM p GROUP BY ALL), b AS (SELECT l_suppkey, count(*) AS b_degree FROM p GROUP BY ALL)
 SELECT l_partkey, l_suppkey, a_degree, b_degree, a_degree = 1 AND b_degree = 1 AS is_bijective FROM p JOIN a USING (l_partkey) JOIN b USING (l_suppkey)""")
-def bijectivity_all(spark: SparkSession, d: str) -> DataFrame:
+def bijectivity(spark: SparkSession, d: str) -> DataFrame:
     """AGG-14, JX-03 over every line item."""
     return aggs.bijectivity(table(spark, d, "lineitem"), "l_partkey", "l_suppkey")
 

@@ -25,14 +25,6 @@ def calendar_split_3way(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").groupBy(split.alias("split")).agg(F.count("*").alias("n"))
 
 
-@CATALOGUE.add("""WITH s AS (SELECT source_row_id, game_date, TRY_CAST(game_date AS TIMESTAMP) AS ts FROM nfl_schedule WHERE regexp_full_match(game_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2}:[0-9]{2}:[0-9]{2})?'))
-SELECT source_row_id, CASE WHEN ts IS NULL THEN 'unknown_date' WHEN strftime(ts, '%m-%d') IN ('12-31', '01-01') AND len(game_date) = 10 THEN 'date_precision_unresolved' WHEN ts < TIMESTAMP '2020-01-01' THEN 'development' ELSE 'holdout' END AS split,
-CASE WHEN ts IS NULL THEN 'unknown' WHEN len(game_date) > 10 THEN 'source_timestamp' ELSE 'source_calendar_date' END AS precision_class FROM s""")
-def calendar_split_boundary(spark: SparkSession, d: str) -> DataFrame:
-    """K7 with a class for days that can't tell the side; DT-03. Only the rows of its SQL twin; all rows: calendar_split_boundary_all."""
-    return _boundary_split(table(spark, d, "nfl_schedule").filter(n.full_match(F.col("game_date"), r"[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2}:[0-9]{2}:[0-9]{2})?")))
-
-
 def _boundary_split(rows: DataFrame) -> DataFrame:
     ts, kind = times.instant(F.col("game_date")), times.precision_class(F.col("game_date"))
     days = [f"{y}-{md}" for y in range(1999, 2031) for md in ("12-31", "01-01")]
@@ -45,7 +37,7 @@ z AS (SELECT source_row_id, clean, regexp_full_match(clean, '[0-9]{4}-[0-9]{2}-[
 s AS (SELECT source_row_id, bare, CASE WHEN bare THEN CAST(TRY_CAST(clean AS DATE) AS TIMESTAMP) WHEN regexp_full_match(zoned, '[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?') THEN TRY_CAST(TRY_CAST(zoned AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) END AS ts FROM z)
 SELECT source_row_id, CASE WHEN ts IS NULL THEN 'unknown_date' WHEN strftime(ts, '%m-%d') IN ('12-31', '01-01') AND bare THEN 'date_precision_unresolved' WHEN ts < TIMESTAMP '2020-01-01' THEN 'development' ELSE 'holdout' END AS split,
 CASE WHEN ts IS NULL THEN 'unknown' WHEN bare THEN 'source_calendar_date' ELSE 'source_timestamp' END AS precision_class FROM s""")
-def calendar_split_boundary_all(spark: SparkSession, d: str) -> DataFrame:
+def calendar_split_boundary(spark: SparkSession, d: str) -> DataFrame:
     """K7, DT-03: every row; what is no ISO text (epochs, month names, slashes, bare times and months) is unknown_date (p6_readings reads those)."""
     return _boundary_split(table(spark, d, "nfl_schedule"))
 
@@ -169,22 +161,32 @@ CATALOGUE.add("""WITH w AS (SELECT TIMESTAMP '2024-01-01' + to_minutes(CAST(30 *
 SELECT strftime(wall, '%Y-%m-%d %H:%M') AS wall, CASE WHEN wall >= TIMESTAMP '2024-03-10 02:00' AND wall < TIMESTAMP '2024-03-10 03:00' THEN NULL WHEN wall >= TIMESTAMP '2024-11-03 01:00' AND wall < TIMESTAMP '2024-11-03 02:00' THEN NULL
 WHEN wall >= TIMESTAMP '2024-03-10 03:00' AND wall < TIMESTAMP '2024-11-03 01:00' THEN strftime(wall + INTERVAL 4 HOUR, '%Y-%m-%d %H:%M') ELSE strftime(wall + INTERVAL 5 HOUR, '%Y-%m-%d %H:%M') END AS utc FROM w""")(local_times)
 
-# Words of each category of note.
-CATEGORIES = {"weather": r"\b(?:rain|wind|roof|shadow)\b", "medical": r"\b(?:physio|cramp|knee|illness)\b", "officials": r"\b(?:umpire|warning|challenges?)\b", "crowd": r"\b(?:crowd|noise|stands)\b"}
+# What a note of each category says, and the words that turn a mention around or into the past.
+CATEGORIES = {
+    "medical_or_timeout": r"\b(?:medical|physio(?:therapist)?|trainer|MTO|treatment|injur(?:y|ed)|cramp(?:s|ing)?|time[ -]?out)\b",
+    "weather": r"\b(?:rain(?:ing|y)?|wind(?:y)?|gust(?:s|y)?|humid(?:ity)?|heat|hot|cold|weather|sun(?:ny)?|temperature)\b",
+    "roof": r"\b(?:roof|covered court|indoor(?:s)?)\b",
+    "light_or_visibility": r"\b(?:light(?:s|ing)?|dark(?:ness)?|shadow(?:s)?|glare|visibility|floodlight(?:s)?)\b",
+    "noise_or_crowd": r"\b(?:crowd|spectator(?:s)?|noise|noisy|heckl(?:e|er|ing)|boo(?:ing|ed)?|cheer(?:s|ing)?|shout(?:s|ing)?)\b",
+    "time_violation_or_serve_clock": r"\b(?:time violation|serve clock|shot clock|time warning|slow play|delay of game|25[ -]second)\b",
+    "equipment": r"\b(?:racket|racquet|string(?:s|ing)?|grip|dampener|broken racket|broken racquet|equipment)\b",
+    "underarm_serve": r"\bunder[ -]?(?:arm|hand)(?:[ -]serve)?\b",
+    "interruption": r"\b(?:interruption|interrupt(?:ed|ion|ions)?|delay(?:ed|s)?|suspend(?:ed)?|suspension|toilet|bathroom|change of clothes|stoppage|stop(?:ped)? play)\b",
+}
+NEGATION = ["no", "not", "never", "without", "denied", "didn't", "wasn't", "isn't"]
+RETROSPECTIVE = ["previous", "earlier", "yesterday", "last (?:point|game|set|match)", "before this"]
 
 
 def _mention_sql() -> str:
-    parts = []
-    for name, p in CATEGORIES.items():
-        parts.append(f"SELECT doc_id, '{name}' AS category, list_sort(list_distinct(list_transform(regexp_extract_all(text, '(?i){p}'), lambda w: lower(w)))) AS ph, text FROM documents")
-    return f"""WITH c AS ({' UNION ALL '.join(parts)}) SELECT doc_id, category, CAST(len(ph) AS INTEGER) AS n_phrases, array_to_string(ph[1:20], '|') AS phrases,
-coalesce(regexp_matches(text, '(?i)(?:^|[^\\p{{L}}\\p{{N}}])(?:no|not|without|never|isn''t|wasn''t)(?:$|[^\\p{{L}}\\p{{N}}])'), FALSE) AS negated, coalesce(regexp_matches(text, '(?i)(?:^|[^\\p{{L}}\\p{{N}}])(?:last (?:year|week|month)|previously|earlier|former)(?:$|[^\\p{{L}}\\p{{N}}])'), FALSE) AS retrospective FROM c WHERE len(ph) > 0"""
+    parts = [f"SELECT doc_id, '{name}' AS category, list_sort(list_distinct(list_transform(regexp_extract_all(text, '(?i){p}'), lambda w: lower(w)))) AS ph, text FROM documents" for name, p in CATEGORIES.items()]
+    has = lambda words: "coalesce(regexp_matches(text, '(?i)" + x.whole_words(words).replace("'", "''") + "'), FALSE)"
+    return f"""WITH c AS ({' UNION ALL '.join(parts)}) SELECT doc_id, category, CAST(len(ph) AS INTEGER) AS n_phrases, array_to_string(ph[1:20], '|') AS phrases, {has(NEGATION)} AS negated, {has(RETROSPECTIVE)} AS retrospective FROM c WHERE len(ph) > 0"""
 
 
 @CATALOGUE.add(_mention_sql())
 def keyword_mentions(spark: SparkSession, d: str) -> DataFrame:
     """TXT-01, SET-11, STRF-05, 07, UDTF-01."""
-    return x.mentions(table(spark, d, "documents").select("doc_id", "text"), "text", CATEGORIES, ["doc_id"])
+    return x.mentions(table(spark, d, "documents").select("doc_id", "text"), "text", CATEGORIES, ["doc_id"], NEGATION, RETROSPECTIVE)
 
 
 @CATALOGUE.add("""WITH f AS (SELECT doc_id, 'attendance' AS fact, list_distinct(regexp_extract_all(text, 'crowd of ([0-9,]+)', 1)) AS vs FROM documents UNION ALL SELECT doc_id, 'upper_tier_since', list_distinct(regexp_extract_all(text, 'first time since ([0-9]{4})', 1)) FROM documents)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,15 +59,17 @@ GAP_SCHEMA = "entity string, n_rows long, n_reversed long, n_gaps long"
 def gap_counts(df: DataFrame, entity: str, at: str, sequence: str, gap_s: float) -> DataFrame:
     """Per entity and trigger: rows, order reversals and gaps, going on from the trigger before. at is a TIMESTAMP.
 
-    sequence is the physical order of arrival; rows of a trigger are put into it. The state is the last time seen.
+    sequence is the physical order of arrival; rows of a trigger are put into it. The state is the last time seen. A trigger's
+    rows of one entity are one group: bound a trigger by maxFilesPerTrigger or maxBytesPerTrigger.
     """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values("__seq")
-        times = ([state.get[0]] if state.exists else []) + rows["__us"].astype("int64").tolist()
-        steps = [b - a for a, b in zip(times, times[1:], strict=False)]
-        state.update((times[-1],))
-        yield pd.DataFrame({"entity": [key[0]], "n_rows": [len(rows)], "n_reversed": [sum(s < 0 for s in steps)], "n_gaps": [sum(s > gap_s * 1_000_000 for s in steps)]})
+        rows = [(f["__seq"].to_numpy(), f["__us"].to_numpy()) for f in batches]  # 16 bytes a row of the trigger
+        order = np.argsort(np.concatenate([s for s, _ in rows]), kind="stable")
+        times = np.concatenate([t for _, t in rows])[order]
+        steps = np.diff(times, prepend=[state.get[0]] if state.exists else times[:1])
+        state.update((int(times[-1]),))
+        yield pd.DataFrame({"entity": [key[0]], "n_rows": [len(times)], "n_reversed": [int((steps < 0).sum())], "n_gaps": [int((steps > gap_s * 1_000_000).sum())]})
 
     slim = df.filter(F.col(at).isNotNull()).select(F.col(entity).cast("string").alias("entity"), F.unix_micros(at).alias("__us"), F.col(sequence).cast("long").alias("__seq"))
     return slim.groupBy("entity").applyInPandasWithState(run, GAP_SCHEMA, "last long", "append", GroupStateTimeout.NoTimeout)

@@ -52,7 +52,7 @@ def test_boundary_split_keeps_every_row(spark, tmp_path):
 
     texts = ["2019-12-31", "2019-12-31T23:00:00Z", "2019-12-31T23:00:00-05:00", "10 Dec 2009 8:15 PM", "00:20", None]
     spark.createDataFrame(list(enumerate(texts)), "source_row_id long, game_date string").write.parquet(f"{tmp_path}/nfl_schedule.parquet")
-    got = {r[0]: (r[1], r[2]) for r in values.calendar_split_boundary_all(spark, str(tmp_path)).collect()}
+    got = {r[0]: (r[1], r[2]) for r in values.calendar_split_boundary(spark, str(tmp_path)).collect()}
     unknown = ("unknown_date", "unknown")
     assert got == {0: ("date_precision_unresolved", "source_calendar_date"), 1: ("development", "source_timestamp"), 2: ("holdout", "source_timestamp"), 3: unknown, 4: unknown, 5: unknown}
 
@@ -78,7 +78,7 @@ def test_text(spark, rows):
     assert {r["k"]: r["blocks"] for r in df.collect()} == {1: ["T", "Start", "one two", "three", "Stop", "four"], 2: None, 3: []}
     assert rows(text.sections(df, "blocks", ["k"], "^start", "^stop")) == [(1, 0, "one two"), (1, 1, "three")]
     notes = spark.createDataFrame([(1, "No rain, rain stopped"), (2, "Rain last week"), (3, None)], "k long, t string")
-    assert rows(text.mentions(notes, "t", {"weather": "rain"}, ["k"])) == [(1, "weather", 1, "rain", True, False), (2, "weather", 1, "rain", False, True)]
+    assert rows(text.mentions(notes, "t", {"weather": "rain"}, ["k"], ["no", "not"], ["previous", "last (?:week|year)"])) == [(1, "weather", 1, "rain", True, False), (2, "weather", 1, "rain", False, True)]
     assert _one(spark, ["24-foot three-pointer", "x", None], text.shot_distance) == [24, None, None]
 
 
