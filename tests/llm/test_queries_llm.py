@@ -21,7 +21,7 @@ SHAPES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(plans.QUERIES))
+@pytest.mark.parametrize("name", sorted(SHAPES))
 def test_shape_and_distinct_rows(spark, name):
     df = plans.QUERIES[name](spark, SF)
     if SHAPES[name]:
@@ -34,11 +34,18 @@ def test_shape_and_distinct_rows(spark, name):
         for r in by.values():
             if r["target_share"] and r["available_tokens"] > 1000:
                 assert abs(r["actual_share"] * reachable / r["target_share"] - 1) < 0.04
-    if name == "p2_found":
-        import duckdb
-
-        con = duckdb.connect()
-        con.execute("SET TimeZone='UTC'")
-        for t in ("quote_updates", "book_snapshots"):
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-        assert set(rows) == set(con.execute(plans.ORACLES[name]).fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(set(plans.ORACLES) - {"p8_sound"}))  # shares are too coarse in so few texts
+def test_equals_its_twin(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for f in os.listdir(SF):
+        con.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM read_parquet('{SF}/{f}')")
+    df = plans.QUERIES[name](spark, SF)
+    cursor = con.execute(plans.ORACLES[name])
+    names = [c[0] for c in cursor.description]
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*names).collect()), key=repr) == sorted(cursor.fetchall(), key=repr)
