@@ -54,7 +54,7 @@ def as_feature(x: Column) -> Column:
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     rad = F.radians
     h = F.pow(F.sin((rad(lat2) - rad(lat1)) / 2), 2) + F.cos(rad(lat1)) * F.cos(rad(lat2)) * F.pow(F.sin((rad(lon2) - rad(lon1)) / 2), 2)
-    return 2 * EARTH_METRES * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    return F.when(h.isNotNull(), 2 * EARTH_METRES * F.asin(F.least(F.lit(1.0), F.sqrt(h))))  # least would skip a null
 
 
 def in_box(lat: Column, lon: Column, centre_lat: Column, centre_lon: Column, half_km: float) -> Column:

@@ -44,4 +44,4 @@ def test_query_equals_its_twin(spark, duck, name):
         assert sorted(names) == sorted(df.columns)
         assert got == canonical(cursor.fetchall(), names)
     else:
-        assert name in {"p4_found", "p4_unified", "p6_found", "p6_readings"}
+        assert name in {"p4_found", "p4_unified", "p4_depth_charts", "p4_match_metadata", "p6_readings"}
