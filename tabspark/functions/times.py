@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -123,3 +125,60 @@ def calendar_split(
     for edge, label in zip(edges, labels, strict=False):
         out = out.when(ts < F.lit(edge).cast("timestamp"), label)
     return out.otherwise(labels[-1])
+
+
+@dataclass(frozen=True)
+class Split:
+    """A split by calendar: classes, the label of an unknown time, and when a boundary day can't tell the side.
+
+    doubt: 'never', 'always', 'calendar_date' (the day alone is known), 'no_timestamp' (anything but a timestamp).
+    by: 'instant', 'year' (whole years), 'text' (ISO text, compared as text).
+    """
+
+    classes: int
+    unknown: str | None = None
+    doubt: str = "never"
+    doubt_label: str = "date_precision_unresolved"
+    sides: str = "both"  # of an edge: its day and the one before, or the day before alone
+    by: str = "instant"
+
+
+# The splits in use. Three classes are fit, calibration and holdout; two are development and holdout.
+SPLITS = {
+    "context": Split(3, "unknown_date", "calendar_date"),
+    "team_styles": Split(3, "date_unresolved", "no_timestamp"),
+    "injury_views": Split(3, "unresolved_game_time"),
+    "injury_entries": Split(3, "unresolved_game_time"),
+    "schedule_density": Split(3),
+    "points": Split(3, "date_unresolved", "always"),
+    "air_quality": Split(3, by="year"),
+    "attendance": Split(2),
+    "play_styles": Split(2, "unknown_date", "no_timestamp"),
+    "officials": Split(2, "unknown_game_date", "no_timestamp"),
+    "weather": Split(2, doubt="no_timestamp"),
+    "plays": Split(2, "unmatched_game_date"),
+    "match_weather": Split(2, "holdout"),
+    "shots": Split(2, "date_unresolved", "no_timestamp", "boundary_unresolved", "before"),
+    "odds": Split(2),
+    "profiles": Split(2, "unresolved_year", by="year"),
+    "spectators": Split(2, by="text"),
+    "model": Split(3),
+}
+
+
+def split_as(split: Split, ts: Column, precision: Column, edges: Sequence[str]) -> Column:
+    """The class of a time under a split. edges: one day less than classes, as ISO dates; the precision is that of precision_class."""
+    labels = ["fit", "calibration", "holdout"] if split.classes == 3 else ["development", "holdout"]
+    if split.by == "year":
+        out, year = F.when(ts.isNull(), F.lit(split.unknown)), F.year(ts)
+        for edge, label in zip(edges, labels, strict=False):
+            out = out.when(year < int(edge[:4]), label)
+        return out.otherwise(labels[-1])
+    if split.by == "text":
+        text, out = F.date_format(ts, "yyyy-MM-dd"), F.when(ts.isNull(), F.lit(split.unknown))
+        for edge, label in zip(edges, labels, strict=False):
+            out = out.when(text < edge, label)
+        return out.otherwise(labels[-1])
+    days = [d for e in edges for d in ([str(date.fromisoformat(e) - timedelta(1))] + ([e] if split.sides == "both" else []))] if split.doubt != "never" else []
+    when = {"always": F.lit(True), "calendar_date": precision == "source_calendar_date", "no_timestamp": precision != "source_timestamp"}.get(split.doubt)
+    return calendar_split(ts, edges, labels, split.unknown, days, when, split.doubt_label)

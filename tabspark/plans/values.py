@@ -25,6 +25,45 @@ def calendar_split_3way(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").groupBy(split.alias("split")).agg(F.count("*").alias("n"))
 
 
+def _split_sql() -> str:
+    rows = """o AS (SELECT CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS TIMESTAMP) END AS ts, CASE o_orderkey % 3 WHEN 0 THEN 'source_calendar_date' WHEN 1 THEN 'unknown' ELSE 'source_timestamp' END AS p FROM orders)"""
+    three = "CASE WHEN ts < TIMESTAMP '1995-01-01' THEN 'fit' WHEN ts < TIMESTAMP '1996-01-01' THEN 'calibration' ELSE 'holdout' END"
+    two = "CASE WHEN ts < TIMESTAMP '1996-01-01' THEN 'development' ELSE 'holdout' END"
+    four, pair = "strftime(ts, '%Y-%m-%d') IN ('1994-12-31', '1995-01-01', '1995-12-31', '1996-01-01')", "strftime(ts, '%Y-%m-%d') IN ('1995-12-31', '1996-01-01')"
+    doubt = "THEN 'date_precision_unresolved'"
+    of = {
+        "context": f"CASE WHEN ts IS NULL THEN 'unknown_date' WHEN {four} AND p = 'source_calendar_date' {doubt} ELSE {three} END",
+        "team_styles": f"CASE WHEN ts IS NULL THEN 'date_unresolved' WHEN {four} AND p <> 'source_timestamp' {doubt} ELSE {three} END",
+        "injury_views": f"CASE WHEN ts IS NULL THEN 'unresolved_game_time' ELSE {three} END",
+        "injury_entries": f"CASE WHEN ts IS NULL THEN 'unresolved_game_time' ELSE {three} END",
+        "schedule_density": f"CASE WHEN ts IS NOT NULL THEN {three} END",
+        "points": f"CASE WHEN ts IS NULL THEN 'date_unresolved' WHEN {four} {doubt} ELSE {three} END",
+        "air_quality": "CASE WHEN year(ts) < 1995 THEN 'fit' WHEN year(ts) < 1996 THEN 'calibration' WHEN ts IS NOT NULL THEN 'holdout' END",
+        "attendance": f"CASE WHEN ts IS NOT NULL THEN {two} END",
+        "play_styles": f"CASE WHEN ts IS NULL THEN 'unknown_date' WHEN {pair} AND p <> 'source_timestamp' {doubt} ELSE {two} END",
+        "officials": f"CASE WHEN ts IS NULL THEN 'unknown_game_date' WHEN {pair} AND p <> 'source_timestamp' {doubt} ELSE {two} END",
+        "weather": f"CASE WHEN ts IS NULL THEN NULL WHEN {pair} AND p <> 'source_timestamp' {doubt} ELSE {two} END",
+        "plays": f"CASE WHEN ts IS NULL THEN 'unmatched_game_date' ELSE {two} END",
+        "match_weather": two,
+        "shots": f"CASE WHEN ts IS NULL THEN 'date_unresolved' WHEN strftime(ts, '%Y-%m-%d') = '1995-12-31' AND p <> 'source_timestamp' THEN 'boundary_unresolved' ELSE {two} END",
+        "odds": f"CASE WHEN ts IS NOT NULL THEN {two} END",
+        "profiles": "CASE WHEN ts IS NULL THEN 'unresolved_year' WHEN year(ts) < 1996 THEN 'development' ELSE 'holdout' END",
+        "spectators": "CASE WHEN strftime(ts, '%Y-%m-%d') < '1996-01-01' THEN 'development' WHEN ts IS NOT NULL THEN 'holdout' END",
+        "model": f"CASE WHEN ts IS NOT NULL THEN {three} END",
+    }
+    return f"WITH {rows} SELECT variant, split, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS variant, {v} AS split FROM o" for k, v in of.items()) + ") GROUP BY ALL"
+
+
+@CATALOGUE.add(_split_sql())
+def split_variants(spark: SparkSession, d: str) -> DataFrame:
+    """K7, DT-13 and all splits of section 2.13: rows per class of each, one scan."""
+    key = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(F.when(key % 11 != 0, F.col("o_orderdate").cast("timestamp")).alias("ts"), F.when(key % 3 == 0, "source_calendar_date").when(key % 3 == 1, "unknown").otherwise("source_timestamp").alias("p"))
+    edges = {3: ["1995-01-01", "1996-01-01"], 2: ["1996-01-01"]}
+    cells = F.array(*[F.struct(F.lit(name).alias("variant"), times.split_as(s, F.col("ts"), F.col("p"), edges[s.classes]).alias("split")) for name, s in times.SPLITS.items()])
+    return rows.select(F.inline(cells)).groupBy("variant", "split").agg(F.count("*").alias("n"))
+
+
 def _boundary_split(rows: DataFrame) -> DataFrame:
     ts, kind = times.instant(F.col("game_date")), times.precision_class(F.col("game_date"))
     days = [f"{y}-{md}" for y in range(1999, 2031) for md in ("12-31", "01-01")]
