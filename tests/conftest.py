@@ -16,6 +16,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.codegen.wholeStage", "false")  # small frames: compiling costs more than it saves
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
