@@ -140,11 +140,23 @@ def late_rows(query: StreamingQuery) -> int:
 
 @dataclass
 class ReplayPlan:
-    """Where the slices end (µs, the last is open), and how wide a state bucket is."""
+    """Equal cells of time from ``low`` on, the slice of each cell that has rows, and how wide a state bucket is (all in µs)."""
 
-    edges: list[int]
+    low: int
+    width: int
+    slice_of: dict[int, int]
     bucket_us: int
 
+    @property
+    def slices(self) -> int:
+        return max(self.slice_of.values()) + 1
+
+    def sliced(self, rows: DataFrame) -> DataFrame:
+        """rows with their slice. The cells are at most 4,097."""
+        cells = rows.sparkSession.createDataFrame(sorted(self.slice_of.items()), "__cell long, slice int")
+        cell = F.floor((F.col("t_us") - F.lit(self.low)) / F.lit(self.width)).cast("long")
+        return rows.withColumn("__cell", cell).join(F.broadcast(cells), "__cell").drop("__cell")
+
 
 def plan_replay(rows: DataFrame, tolerance_us: int, slices: int, slice_rows: int, bucket_rows: int, cells: int = 4096) -> ReplayPlan | None:
     """From the counts of all rows in equal cells of time (at most ``cells`` + 1 rows at the driver): slices of equal rows, at most about slice_rows each, and a bucket of at most about bucket_rows in the densest cell."""
@@ -152,14 +164,15 @@ def plan_replay(rows: DataFrame, tolerance_us: int, slices: int, slice_rows: int
     if not total:
         return None
     width = max(1, math.ceil((high - low + 1) / cells))
-    counted = dict(rows.groupBy(F.floor((F.col("t_us") - low) / F.lit(width)).cast("long").alias("cell")).count().collect())
-    goal, edges, held = total / max(slices, math.ceil(total / slice_rows)), [], 0
-    for cell in sorted(counted)[:-1]:
+    counted = dict(rows.groupBy(F.floor((F.col("t_us") - F.lit(low)) / F.lit(width)).cast("long").alias("cell")).count().collect())
+    goal, slice_of, held, now = total / max(slices, math.ceil(total / slice_rows)), {}, 0, 0
+    for cell in sorted(counted):
+        if held >= goal * (now + 1):
+            now += 1
+        slice_of[cell] = now
         held += counted[cell]
-        if held >= goal * (len(edges) + 1):
-            edges.append(low + (cell + 1) * width)
     densest = max(counted.values())
-    return ReplayPlan(edges, int(max(width * bucket_rows / densest, 8 * tolerance_us, 1)))
+    return ReplayPlan(low, width, slice_of, int(max(width * bucket_rows / densest, 8 * tolerance_us, 1)))
 
 
 def replay_nearest_join(
@@ -183,13 +196,11 @@ def replay_nearest_join(
     plan = plan_replay(rows, tolerance_us, slices, slice_rows, bucket_rows)
     if plan is None:
         return spark.createDataFrame([], OUT_SCHEMA)
-    # how many edges lie at or before a row: its slice. There are at most as many as cells in the plan
-    number = F.size(F.filter(F.array(*[F.lit(e) for e in plan.edges]), lambda e: e <= F.col("t_us"))) if plan.edges else F.lit(0)
-    sliced = rows.withColumn("clock", F.timestamp_micros("t_us")).withColumn("slice", number)
+    sliced = plan.sliced(rows.withColumn("clock", F.timestamp_micros("t_us")))
     spread = max(1, spark.sparkContext.defaultParallelism // 2)
-    sliced.repartition(spread * (len(plan.edges) + 1), "slice", F.pmod(F.hash("id"), F.lit(spread))).write.partitionBy("slice").parquet(f"{work}/slices")
+    sliced.repartition(spread * plan.slices, "slice", F.pmod(F.hash("id"), F.lit(spread))).write.partitionBy("slice").parquet(f"{work}/slices")
     end = spark.createDataFrame([("", -1, 0, False)], "entity string, id long, t_us long, is_left boolean").withColumn("clock", F.lit("2250-01-01 00:00:00").cast("timestamp"))
-    end.select(*[c for c in rows.columns], "clock").coalesce(1).write.parquet(f"{work}/slices/slice={len(plan.edges) + 1}")
+    end.select(*[c for c in rows.columns], "clock").coalesce(1).write.parquet(f"{work}/slices/slice={plan.slices}")
     fs, live = hadoop_path(spark, f"{work}/live")
     fs.mkdirs(live)
     store = {"providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "rocksdb.changelogCheckpointing.enabled": "true"}
@@ -202,7 +213,7 @@ def replay_nearest_join(
         joined = _grouped_join(stream, tolerance_us, plan.bucket_us, shards, "0 seconds", how)
         query = joined.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/checkpoint").outputMode("append").start()
         try:
-            for i in range(len(plan.edges) + 2):  # a slice appears as a whole, by a rename
+            for i in range(plan.slices + 1):  # a slice appears as a whole, by a rename
                 if not fs.rename(hadoop_path(spark, f"{work}/slices/slice={i}")[1], hadoop_path(spark, f"{work}/live/{i:06d}")[1]):
                     raise RuntimeError(f"slice {i} of the replay is missing")
                 query.processAllAvailable()
