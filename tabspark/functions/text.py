@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabspark.functions.normalize import contains, phrases
+from tabspark.functions.times import spoken_date
 
 
 def whole_words(words: Sequence[str]) -> str:
@@ -225,6 +226,13 @@ def label_included(label: Column, include: str, exclude: str) -> Column:
     return contains(label, include) & ~contains(label, exclude)
 
 
+def dated_captions(df: DataFrame, caption: str, subject: str, page_day: Column, keep: list[str]) -> DataFrame:
+    """(keep..., subject, day, agrees): captions with a subject (the pattern's group) and a date in words, and whether that is the page's day."""
+    who, day = F.nullif(F.regexp_extract(caption, subject, 1), F.lit("")), spoken_date(F.col(caption))
+    out = df.select(*keep, who.alias("subject"), day.alias("day"), F.coalesce(day == page_day, F.lit(False)).alias("agrees"))
+    return out.filter("subject is not null and day is not null").withColumn("day", F.col("day").cast("string"))
+
+
 def prop_rule(rule: Column) -> Column:
     """STRUCT(player, stat, threshold, comparator, rejected) of a contract's rule about one player's number.
 

@@ -87,6 +87,35 @@ def table_digest(spark: SparkSession, d: str) -> DataFrame:
     return about.crossJoin(digest)  # two single rows
 
 
+@CATALOGUE.add("""SELECT 'r' || n_regionkey AS archive, n_name || '.txt' AS member, CASE WHEN n_nationkey % 5 = 0 THEN 'missing' WHEN n_nationkey % 5 = 1 THEN 'digest' ELSE 'ok' END AS status FROM nation UNION ALL SELECT 'r' || r_regionkey, 'about', 'extra' FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM nation)""")
+def archive_checks(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-08, SRC-10, SRC-19, SRC-20: members of archives against a manifest of sizes and digests; one archive per region."""
+    from pyspark.sql.types import BinaryType
+
+    @F.pandas_udf(BinaryType())
+    def pack(names):  # an archive from a list of names
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        out = []
+        for members in names:
+            data = io.BytesIO()
+            with zipfile.ZipFile(data, "w") as z:
+                for member in members:
+                    z.writestr(f"{member}.txt", member)
+                z.writestr("about", "x")
+            out.append(data.getvalue())
+        return pd.Series(out)
+
+    nations = table(spark, d, "nation").withColumn("archive", F.concat(F.lit("r"), F.col("n_regionkey").cast("string")))
+    archives = nations.groupBy(F.col("archive").alias("path")).agg(F.collect_list(F.when(F.col("n_nationkey") % 5 != 0, F.col("n_name"))).alias("names")).select("path", pack("names").alias("content"))
+    digest = F.when(F.col("n_nationkey") % 5 == 1, F.lit("0" * 64)).otherwise(F.sha2("n_name", 256))
+    manifest = nations.select("archive", F.concat("n_name", F.lit(".txt")).alias("member"), F.length("n_name").cast("long").alias("size"), digest.alias("sha256"))
+    return readers.checked_members(readers.members_of(archives), manifest)
+
+
 # normalising
 
 
@@ -493,6 +522,15 @@ def prose_dates(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", read["day"].cast("string").alias("day"), read["precision"].alias("precision"), F.unix_micros(read["instant"]).alias("us"))
 
 
+@CATALOGUE.add("""SELECT o_orderkey, 'Player ' || o_custkey AS subject, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey % 4 <> 0 AS agrees FROM orders WHERE o_orderkey % 5 <> 0""")
+def dated_captions(spark: SparkSession, d: str) -> DataFrame:
+    """TXT-05: who a caption shows and when, and whether its date is that of the page; captions without a date or a subject give none."""
+    shown = F.when(F.col("o_orderkey") % 5 == 0, "Fans").otherwise(F.concat(F.lit("Player "), F.col("o_custkey").cast("string"), F.lit(" warms up before the game on "), F.date_format("o_orderdate", "MMMM d, yyyy")))
+    page = F.when(F.col("o_orderkey") % 4 == 0, F.date_add(F.col("o_orderdate").cast("date"), 1)).otherwise(F.col("o_orderdate").cast("date"))
+    rows = table(spark, d, "orders").select("o_orderkey", shown.alias("caption"), page.alias("page_day"))
+    return x.dated_captions(rows, "caption", r"^([\p{L}0-9 .'’-]+?) (?:warms up|arrives|plays)\b", F.col("page_day"), ["o_orderkey"])
+
+
 @CATALOGUE.add("SELECT box_row_id, CASE WHEN pts = 2 * mk + th + ft THEN TRUE WHEN pts <> 2 * mk + th + ft THEN FALSE END AS adds_up, CAST(CASE WHEN mk <> 0 THEN pts / mk END AS FLOAT) AS per_made FROM (SELECT box_row_id, TRY_CAST(points AS DOUBLE) AS pts, TRY_CAST(field_goals_attempted AS DOUBLE) AS mk, TRY_CAST(threes AS DOUBLE) AS th, TRY_CAST(free_throws_attempted AS DOUBLE) AS ft FROM nba_player_games)")
 def shooting_identity(spark: SparkSession, d: str) -> DataFrame:
     """MTH-03, MTH-13: the points identity (unknown where a part is), and a feature without infinities."""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
 import io
+import lzma
 import tarfile
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -71,30 +74,68 @@ def _safe_member(name: str) -> bool:
     return not name.startswith(("/", "\\")) and ".." not in name.split("/") and ":" not in name
 
 
-def archive_members(spark: SparkSession, path: str, largest: int = 1 << 28) -> DataFrame:
-    """(archive, member, size, sha256, content) of zip and tar files, one task per archive.
+MEMBER_SCHEMA = "archive string, member string, size long, sha256 string, content binary"
 
-    Absolute names, parent folders, links, repeated names and members beyond ``largest`` bytes are refused.
-    """
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
+def _single(name: str, data: bytes, largest: int) -> list[tuple[str, bytes]] | None:
+    """The one member of a gz or xz file, read no further than the largest size; None for other files."""
+    if data[:2] == b"\x1f\x8b":
+        stream = gzip.GzipFile(fileobj=io.BytesIO(data))
+    elif data[:6] == b"\xfd7zXZ\x00":
+        stream = lzma.LZMAFile(io.BytesIO(data))
+    else:
+        return None
+    body = stream.read(largest + 1)
+    if len(body) > largest:
+        raise ValueError(f"refused member: {name}")
+    member = name.rsplit("/", 1)[-1]
+    return [(member.rsplit(".", 1)[0] if member.endswith((".gz", ".xz")) else member, body)]
+
 
+def unpack(name: str, data: bytes, largest: int) -> list[tuple[str, bytes]]:
+    """Members of a zip, tar (compressed too), gz or xz file.
+
+    Absolute names, parent folders, links, repeated names and members beyond ``largest`` bytes are refused.
+    """
+    if zipfile.is_zipfile(io.BytesIO(data)):
+        with zipfile.ZipFile(io.BytesIO(data)) as z:
+            return _read([(i.filename, i.file_size, i.is_dir(), False, lambda i=i: z.read(i)) for i in z.infolist()], largest)
+    try:
+        with tarfile.open(fileobj=io.BytesIO(data)) as t:
+            return _read([(i.name, i.size, i.isdir(), not (i.isfile() or i.isdir()), lambda i=i: t.extractfile(i).read()) for i in t.getmembers()], largest)
+    except tarfile.ReadError:
+        if (one := _single(name, data, largest)) is None:
+            raise
+        return one
+
+
+def members_of(archives: DataFrame, largest: int = 1 << 28) -> DataFrame:
+    """MEMBER_SCHEMA of archives (path STRING, content BINARY): one archive at a time, so an archive has to fit a task's memory."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, data in zip(pdf["path"], pdf["content"], strict=True):
-                members: list[tuple[str, bytes]] = []
-                if zipfile.is_zipfile(io.BytesIO(data)):
-                    with zipfile.ZipFile(io.BytesIO(data)) as z:
-                        infos = [(i.filename, i.file_size, i.is_dir(), False, lambda i=i, z=z: z.read(i)) for i in z.infolist()]
-                        members = _read(infos, largest)
-                else:
-                    with tarfile.open(fileobj=io.BytesIO(data)) as t:
-                        infos = [(i.name, i.size, i.isdir(), not (i.isfile() or i.isdir()), lambda i=i, t=t: t.extractfile(i).read()) for i in t.getmembers()]
-                        members = _read(infos, largest)
-                yield pd.DataFrame([(name, m, len(b), hashlib.sha256(b).hexdigest(), b) for m, b in members], columns=["archive", "member", "size", "sha256", "content"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(unpack, "archive string, member string, size long, sha256 string, content binary")
+                rows = [(name, m, len(b), hashlib.sha256(b).hexdigest(), b) for m, b in unpack(name, data, largest)]
+                yield pd.DataFrame(rows, columns=["archive", "member", "size", "sha256", "content"])
+
+    return archives.filter("content is not null").select("path", "content").mapInPandas(run, MEMBER_SCHEMA)
+
+
+def archive_members(spark: SparkSession, path: str, largest: int = 1 << 28) -> DataFrame:
+    """MEMBER_SCHEMA of archive files, one task per archive."""
+    return members_of(spark.read.format("binaryFile").load(path), largest)
+
+
+def checked_members(members: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(archive, member, status): each member of a manifest (archive, member, size, sha256) as 'ok', 'missing', 'size', 'digest'; members beyond it as 'extra'."""
+    have = members.select("archive", "member", F.col("size").alias("__size"), F.col("sha256").alias("__sha"))
+    status = F.when(F.col("sha256").isNull(), "extra").when(F.col("__sha").isNull(), "missing").when(F.col("size") != F.col("__size"), "size").when(F.col("sha256") != F.col("__sha"), "digest").otherwise("ok")
+    return manifest.join(have, ["archive", "member"], "full_outer").select("archive", "member", status.alias("status"))
+
+
+def inventory_gate(manifest: DataFrame, n_files: int, total_size: int) -> DataFrame:
+    """One row: whether a manifest has so many files, of different names, and so many bytes in all."""
+    return manifest.agg((F.count("*") == n_files).alias("right_number"), (F.count_distinct("name") == F.count("*")).alias("different_names"), (F.coalesce(F.sum("size"), F.lit(0)) == total_size).alias("right_size"))
 
 
 def _read(infos, largest: int) -> list[tuple[str, bytes]]:

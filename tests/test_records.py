@@ -161,3 +161,34 @@ def test_prop_rules_and_prose_dates(spark):
     got = [r[0] for r in spark.createDataFrame([(x,) for x in dates], "r string").select(times.spoken_instant(F.col("r"))).collect()]
     assert [(str(x["day"]) if x["day"] else None, x["precision"]) for x in got] == [("2021-03-05", "minute"), ("2021-03-05", "date"), (None, "none"), (None, "none"), (None, "none"), ("2021-03-05", "date")]
     assert got[0]["instant"].strftime("%H:%M") == "05:05"
+
+
+def test_archives_of_every_kind(spark, tmp_path):
+    import gzip
+    import io
+    import lzma
+    import tarfile
+    import zipfile
+
+    from tabspark.sources import readers
+
+    tar = io.BytesIO()
+    with tarfile.open(fileobj=tar, mode="w:gz") as t:
+        info = tarfile.TarInfo("in/a.txt")
+        info.size = 3
+        t.addfile(info, io.BytesIO(b"abc"))
+    packed = {"x.csv.gz": gzip.compress(b"abc"), "y.csv.xz": lzma.compress(b"abc"), "z.tar.gz": tar.getvalue()}
+    for name, data in packed.items():
+        assert [b for _, b in readers.unpack(name, data, 10)] == [b"abc"]
+        with pytest.raises(ValueError, match="refused"):
+            readers.unpack(name, data, 2)
+    assert readers.unpack("f/x.csv.gz", packed["x.csv.gz"], 10)[0][0] == "x.csv"
+    bad = io.BytesIO()
+    with zipfile.ZipFile(bad, "w") as z:
+        z.writestr("../a", "x")
+    with pytest.raises(ValueError, match="refused"):
+        readers.unpack("b.zip", bad.getvalue(), 10)
+    with pytest.raises(tarfile.ReadError):
+        readers.unpack("plain", b"no archive", 10)
+    gate = readers.inventory_gate(spark.createDataFrame([("a", 2), ("b", 3)], "name string, size long"), 2, 5).first()
+    assert tuple(gate) == (True, True, True)
