@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -66,6 +67,40 @@ def test_common_keys_are_refined_without_losing_links(spark, caplog):
     assert {(r[0], r[1]) for r in linkage.link(*frames, block_pairs=50).collect()} == true
 
 
+def test_recall_and_precision_on_noisy_copies(spark):
+    """Copies with initials, swapped players, slips of the pen, shifted or missing days and shortened places; a third of the listings are of other matches."""
+    r = random.Random(11)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    word = lambda n: "".join(r.choice(syllables) for _ in range(n))
+    people = [(word(2).title(), word(3).title()) for _ in range(60)]
+    places = [f"{word(3).title()} {k}" for k in ("Open", "Cup", "Masters") for _ in range(4)]
+
+    def slip(name):
+        i = r.randrange(1, len(name) - 1)
+        return r.choice([name[:i] + name[i + 1 :], name[:i] + name[i + 1] + name[i] + name[i + 2 :], name])
+
+    def spelled(person):
+        first, last = person
+        return r.choice([f"{first} {last}", f"{first[0]}. {last}", f"{last} {first[0]}.", f"{last}, {first}", f"{first} {slip(last)}", f"{first} {last}".upper()])
+
+    left, right, true = [], [], set()
+    for i in range(240):
+        one, two = r.sample(people, 2)
+        place, day = r.choice(places), D(2015, 1, 1) + dt.timedelta(r.randrange(1500))
+        left.append((f"m{i:03d}", " ".join(one), " ".join(two), place, day))
+        if i % 3:
+            pair = [one, two] if r.random() < 0.5 else [two, one]
+            shown = r.choice([place, place.split()[0], place.upper().replace(" ", "_"), None])
+            when = None if shown and r.random() < 0.1 else day + dt.timedelta(r.choice([-1, 0, 0, 0, 1]))
+            right.append((f"l{i:03d}", spelled(pair[0]), spelled(pair[1]), shown, when))
+            true.add((f"m{i:03d}", f"l{i:03d}"))
+        else:
+            a, b = r.sample(people, 2)
+            right.append((f"l{i:03d}", spelled(a), spelled(b), r.choice(places), D(2015, 1, 1) + dt.timedelta(r.randrange(1500))))
+    got = _link(spark, left, right)
+    assert len(got & true) / len(true) >= 0.97 and len(got & true) / len(got) >= 0.97
+
+
 def test_empty_sides(spark):
     assert _link(spark, [], [("l1", "A B", "C D", None, None)]) == set()
     assert _link(spark, LEFT, []) == set()
