@@ -163,18 +163,18 @@ def charted_plays(spark: SparkSession, d: str) -> DataFrame:
 
 
 # What an injury report says of a player.
-STATUSES = ["out", "doubtful", "questionable", "probable", "available"]
+STATUSES = ["Available", "Probable", "Questionable", "Doubtful", "Out"]
 
 
-@CATALOGUE.add("""WITH p AS (SELECT doc_id, coalesce(regexp_extract(text, '([A-Z][^ .()]+) \\([a-z ]+\\) is listed as', 1), '') AS person, regexp_extract(text, 'is listed as ([a-z]+)', 1) AS status, coalesce(regexp_extract(text, '[0-9]{4}_[0-9]{2}_[A-Z]{3}_[A-Z]{3}', 0), '') AS game FROM documents WHERE text IS NOT NULL),
-e AS (SELECT *, CASE WHEN person <> '' AND status IN ('out', 'doubtful', 'questionable', 'probable', 'available') THEN 'player_status' ELSE 'unresolved' END AS entry_type FROM p)
+@CATALOGUE.add("""WITH p AS (SELECT doc_id, coalesce(regexp_extract(text, '([A-Z][^ .()]+) \\([a-z ]+\\) is listed as', 1), '') AS person, upper(regexp_extract(text, 'is listed as ([a-z]+)', 1)[1]) || regexp_extract(text, 'is listed as ([a-z]+)', 1)[2:] AS status, coalesce(regexp_extract(text, '[0-9]{4}_[0-9]{2}_[A-Z]{3}_[A-Z]{3}', 0), '') AS game FROM documents WHERE text IS NOT NULL),
+e AS (SELECT *, CASE WHEN person <> '' AND status IN ('Available', 'Probable', 'Questionable', 'Doubtful', 'Out') THEN 'player_status' ELSE 'unresolved' END AS entry_type FROM p)
 SELECT doc_id, person, status, game, entry_type, entry_type <> 'unresolved' AND game <> '' AS parse_valid FROM e""")
 def injury_entries(spark: SparkSession, d: str) -> DataFrame:
     """NRM-15: person, status and game of a report, its kind of entry and whether it parses."""
     rows = table(spark, d, "documents").filter("text is not null").select(
         "doc_id",
         F.regexp_extract("text", r"([A-Z][^ .()]+) \([a-z ]+\) is listed as", 1).alias("person"),
-        F.regexp_extract("text", "is listed as ([a-z]+)", 1).alias("status"),
+        F.initcap(F.regexp_extract("text", "is listed as ([a-z]+)", 1)).alias("status"),
         F.regexp_extract("text", "[0-9]{4}_[0-9]{2}_[A-Z]{3}_[A-Z]{3}", 0).alias("game"),
     )
     out = r.report_entries(rows, F.col("person"), F.col("status"), F.lit(None).cast("string"), [F.col("game")], STATUSES)
