@@ -11,7 +11,8 @@ by Spark; ``late_rows`` counts them.
 
 ``replay_nearest_join`` runs it over two stored tables: it puts both sides into slices in order of the matched time, hands
 the stream one slice per trigger, and ends with a marker that moves the watermark past every horizon. In this order no row
-is late whatever delays the data have, and the state never holds more than the last two slices. Bucket width and number of
+is late whatever delays the data have, and the state never holds more than the last two slices. A slice appears by renaming
+its folder, which the shared file system has to do as one step; a replay that saw late rows all the same fails. Bucket width and number of
 slices come from counts of all rows over time.
 
 Defined results: rows without entity, id or time match nothing (left rows of ``how='left'`` come out unmatched only if they
